@@ -26,10 +26,21 @@ def cosine_similarity(left: Column | str, right: Column | str) -> Column:
     return dot(left, right) / F.nullif(scale, F.lit(0.0))
 
 
-def scale_by(vector: Column | str, divisor: Column | str) -> Column:
-    """Divide every entry; pass ``divisor`` as a column of its own, not an expression."""
-    divisor = F.col(divisor) if isinstance(divisor, str) else divisor
-    return F.transform(vector, lambda x: x.cast("double") / F.nullif(divisor, F.lit(0.0)))
+def with_value(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, also where a lambda uses it.
+
+    A column that only a lambda refers to would be inlined by the optimizer and
+    computed again for every element.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def unit_vector(vector: Column | str) -> Column:
+    """Entries over the vector's length; NULL entries for a zero vector."""
+    return with_value(
+        F.nullif(F.sqrt(squared_norm(vector)), F.lit(0.0)),
+        lambda norm: F.transform(vector, lambda x: x.cast("double") / norm),
+    )
 
 
 def largest_entry(vector: Column | str) -> Column:

@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from passages.functions.text import words as split_words
+from passages.functions.vectors import largest_entry, unit_vector, with_value
+
 EMBEDDING_DIM = 64
 
 Embedder = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
@@ -89,9 +92,7 @@ def embed(
             T.StructField("embedding", T.ArrayType(T.FloatType()))
         ])
         return df.mapInPandas(embedder, schema)
-    from passages.functions.text import words
-
-    return df.withColumn("embedding", hashed_vector(words(text), dim))
+    return df.withColumn("embedding", hashed_vector(split_words(text), dim))
 
 
 def embed_chunks(
@@ -138,33 +139,22 @@ def mean_pool(
 
 def l2_normalize(df: DataFrame, vector: str = "embedding") -> DataFrame:
     """Divide each vector by its length; entries of a zero vector become NULL."""
-    from passages.functions.vectors import scale_by, squared_norm
-
-    return (
-        df.withColumn("_norm", F.sqrt(squared_norm(vector)))
-        .withColumn(vector, scale_by(vector, "_norm"))
-        .drop("_norm")
-    )
+    return df.withColumn(vector, unit_vector(vector))
 
 
 def quantize_vectors(df: DataFrame, vector: str = "embedding") -> DataFrame:
     """Add ``scale`` and ``codes``: entries scaled, rounded and clipped to one byte."""
-    from passages.functions.vectors import largest_entry
-
-    scaled = df.withColumn("scale", largest_entry(vector) / 127)
-    codes = F.transform(
-        vector,
-        lambda x: F.greatest(
-            F.lit(-127.0),
-            F.least(
-                F.lit(127.0),
-                F.rint(F.coalesce(x.cast("double") / F.nullif(F.col("scale"), F.lit(0.0)), F.lit(0.0))),
-            ),
-        ).cast("tinyint"),
-    )
-    return scaled.withColumn("codes", codes)
+    scale = largest_entry(vector) / 127
+
+    def code(x: Column, scale: Column) -> Column:
+        steps = F.rint(F.coalesce(x.cast("double") / F.nullif(scale, F.lit(0.0)), F.lit(0.0)))
+        return F.greatest(F.lit(-127.0), F.least(F.lit(127.0), steps)).cast("tinyint")
+
+    codes = with_value(scale, lambda s: F.transform(vector, lambda x: code(x, s)))
+    return df.withColumn("scale", scale).withColumn("codes", codes)
 
 
 def dequantize_vectors(df: DataFrame, vector: str = "embedding") -> DataFrame:
     """Rebuild approximate vectors from ``scale`` and ``codes``."""
-    return df.withColumn(vector, F.transform("codes", lambda c: c * F.col("scale")))
+    rebuilt = with_value(F.col("scale"), lambda s: F.transform("codes", lambda c: c * s))
+    return df.withColumn(vector, rebuilt)

@@ -43,7 +43,7 @@ def _chunks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _turns(spark: SparkSession, sf: str, *roles: str) -> DataFrame:
-    turns = _table(spark, sf, "conversations")
+    turns = spread(_table(spark, sf, "conversations"), "conv_id", "turn")
     return turns.where(F.col("role").isin(*roles)) if roles else turns
 
 
@@ -81,6 +81,13 @@ def _long(name: str) -> Column:
     return F.col(name).cast("long").alias(name)
 
 
+def _stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write a table that a query reads more than once."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 # ---- sources and sinks --------------------------------------------------------
 
 
@@ -290,14 +297,14 @@ def encode_corpus(spark, sf):
 @query
 def decode_corpus(spark, sf):
     docs = _documents(spark, sf)
-    vocab = tokens.build_vocab(docs)
+    vocab = _stored(spark, tokens.build_vocab(docs), "vocab")
     return tokens.decode_corpus(tokens.encode_corpus(docs, vocab), vocab)
 
 
 @query
 def token_listing(spark, sf):
     turns = _keyed_turns(spark, sf).withColumn("text", F.replace("text", F.lit("\n"), F.lit(" <0x0A> ▁")))
-    vocab = tokens.build_vocab(turns)
+    vocab = _stored(spark, tokens.build_vocab(turns), "vocab")
     ids = tokens.encode_corpus(turns, vocab, key="seq_id")
     return tokens.token_listing(ids, vocab, key="seq_id").select(
         "seq_id", _long("pos"), _long("id"), "token"

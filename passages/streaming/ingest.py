@@ -9,15 +9,14 @@ from pyspark.sql.streaming import StreamingQuery
 from passages.operators.chunking import word_chunks
 from passages.operators.embedding import EMBEDDING_DIM, Embedder, embed_chunks
 from passages.operators.points import make_points
-from passages.functions.text import drop_empty_lines
+from passages.session import spread
 
 
 def document_points(
     documents: DataFrame, dim: int = EMBEDDING_DIM, embedder: Embedder | None = None
 ) -> DataFrame:
     """``(id, embedding, payload)`` of documents; stateless, so batch and stream agree."""
-    clean = documents.withColumn("text", drop_empty_lines("text"))
-    return make_points(embed_chunks(word_chunks(clean, keep=("source",)), dim, embedder))
+    return make_points(embed_chunks(word_chunks(documents, keep=("source",)), dim, embedder))
 
 
 def ingest_stream(
@@ -32,11 +31,11 @@ def ingest_stream(
     """
 
     def store(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        points = document_points(spread(batch, "doc_id"), embedder=embedder)
+        points.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    points = document_points(documents, embedder=embedder)
     return (
-        points.writeStream.foreachBatch(store)
+        documents.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
