@@ -25,6 +25,7 @@ def assemble_text(
     pieces = df.where(F.col(piece).isNotNull() & (F.col(piece) != ""))
     ends = F.col(piece).rlike(ALPHANUMERIC_END).cast("long")
     grouped = running_total(
-        pieces, key, position, ends, "emit_no", inclusive=False, segment=segment
+        pieces, key, position, ends, "emit_no", inclusive=False, segment=segment,
+        keep_segment=True,
     )
-    return concat_ordered(grouped, [key, "emit_no"], position, piece, "text", segment=segment)
+    return concat_ordered(grouped, [key, "emit_no"], position, piece, "text")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from passages.functions.text import strip_line_end
+from passages.functions.text import strip_line_end, whole_div
 from passages.operators.ordered import concat_ordered, running_total
 
 # The model names of each prompt family; all other names are plain.
@@ -111,9 +111,8 @@ def chat_messages(
     ``pattern`` gives one turn with ``{role}`` and ``{content}``; ``generation_marker``
     ends the prompt.
     """
-    shaped = F.replace(F.lit(pattern), F.lit("{role}"), F.col(role))
-    head, _, tail = pattern.partition("{content}")
-    if "{content}" not in pattern:
+    head, found, tail = pattern.partition("{content}")
+    if not found:
         raise ValueError("the pattern needs {content}")
     shaped = F.concat(
         F.replace(F.lit(head), F.lit("{role}"), F.col(role)),
@@ -144,16 +143,14 @@ def chat_history(
     if budget < 1:
         raise ValueError("the budget must be positive")
     segment = max(segment_tokens, budget)
-    size = F.size(ids)
+    size = F.coalesce(F.size(ids), F.lit(0))
     # A turn is used for its last tokens only, so it carries no more than those.
     tail = F.slice(
         ids, size - F.least(size, F.lit(budget)) + 1, F.least(size, F.lit(budget))
     )
-    turns = running_total(
-        df.where(size > 0), conv, turn, size.cast("long"), "_end"
-    ).withColumn("_tail", tail)
-    home = F.floor(F.col("_end") / segment)
-    copied = F.floor((F.col("_end") + (budget - 1)) / segment)
+    turns = running_total(df, conv, turn, size.cast("long"), "_end").withColumn("_tail", tail)
+    home = whole_div(F.col("_end"), segment)
+    copied = whole_div(F.col("_end") + (budget - 1), segment)
     placed = turns.withColumn("_home", home).withColumn(
         "_seg", F.explode(F.sequence(home, copied))
     )

@@ -21,11 +21,16 @@ EMBEDDING_DIM = 64
 Embedder = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
 
-def hashed_vector(words: Column, dim: int = EMBEDDING_DIM) -> Column:
-    """Signed feature hashing of a word array to ``ARRAY<FLOAT>`` of length ``dim``.
+def spaced_words(text: Column | str) -> Column:
+    """The words of a text with one space between them, as chunks have them already."""
+    return F.array_join(split_words(text), " ")
 
-    The first eight hex digits of a word's md5 choose its bucket, the ninth its
-    sign, and a bucket holds the sum of its signs. All words of a chunk are in its
+
+def hashed_vector(text: Column | str, dim: int = EMBEDDING_DIM) -> Column:
+    """Signed feature hashing of space-separated words to ``ARRAY<FLOAT>``.
+
+    The first eight hex digits of a word's md5 choose one of ``dim`` buckets, the ninth
+    its sign, and a bucket holds the sum of its signs. All words of a chunk are in its
     row, so the sum needs no shuffle; a batch hashes each distinct word once.
     """
 
@@ -36,10 +41,10 @@ def hashed_vector(words: Column, dim: int = EMBEDDING_DIM) -> Column:
         offsets = pa.array(np.arange(len(column) + 1, dtype=np.int32) * dim)
         return pa.ListArray.from_arrays(offsets, pa.array(sums.astype(np.float32)))
 
-    return embed(words)
+    return embed(text)
 
 
-def hashed_sparse_vector(words: Column, dim: int = 1 << 18) -> Column:
+def hashed_sparse_vector(text: Column | str, dim: int = 1 << 18) -> Column:
     """The same hashing for a wide space: ``(buckets, weights)`` without the zeros."""
 
     @F.arrow_udf("buckets array<int>, weights array<double>")
@@ -59,19 +64,23 @@ def hashed_sparse_vector(words: Column, dim: int = 1 << 18) -> Column:
             names=["buckets", "weights"],
         )
 
-    return embed(words)
+    return embed(text)
 
 
 def _hash_words(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
-    coded = column.flatten().dictionary_encode()
+    """Row, bucket and sign of every word of a text column."""
+    split = pc.split_pattern(pc.fill_null(column, ""), " ")
+    lengths = pc.list_value_length(split).to_numpy(zero_copy_only=False)
+    coded = split.flatten().dictionary_encode()
+    distinct = coded.dictionary.to_pylist()
     hashes = np.array(
-        [int(hashlib.md5(w.encode()).hexdigest()[:9], 16) for w in coded.dictionary.to_pylist()],
-        dtype=np.int64,
+        [int(hashlib.md5(w.encode()).hexdigest()[:9], 16) for w in distinct], dtype=np.int64
     )
     index = coded.indices.to_numpy(zero_copy_only=False)
     buckets = (hashes >> 4) % dim
     signs = np.where(hashes % 16 < 8, 1.0, -1.0)
+    # A text without words splits into one empty string.
+    signs[[n for n, w in enumerate(distinct) if not w]] = 0
     rows = np.repeat(np.arange(len(column), dtype=np.int64), lengths)
     return rows, buckets[index], signs[index]
 
@@ -81,10 +90,11 @@ def embed(
     text: str = "text",
     dim: int = EMBEDDING_DIM,
     embedder: Embedder | None = None,
+    spaced: bool = False,
 ) -> DataFrame:
     """Add ``embedding`` to every row; rows are independent and never move.
 
-    ``embedder`` receives the rows as pandas batches through ``mapInPandas`` and
+    ``spaced`` tells that one space already separates the words. ``embedder`` receives the rows as pandas batches through ``mapInPandas`` and
     returns them with ``embedding`` added; load its model once, before the loop.
     """
     if embedder is not None:
@@ -92,14 +102,15 @@ def embed(
             T.StructField("embedding", T.ArrayType(T.FloatType()))
         ])
         return df.mapInPandas(embedder, schema)
-    return df.withColumn("embedding", hashed_vector(split_words(text), dim))
+    words = F.col(text) if spaced else spaced_words(text)
+    return df.withColumn("embedding", hashed_vector(words, dim))
 
 
 def embed_chunks(
     chunks: DataFrame, dim: int = EMBEDDING_DIM, embedder: Embedder | None = None
 ) -> DataFrame:
-    """Vectors of chunk rows ``(doc_id, chunk_no, text, ...)``."""
-    return embed(chunks, "text", dim, embedder)
+    """Vectors of word-chunk rows ``(doc_id, chunk_no, text, ...)``."""
+    return embed(chunks, "text", dim, embedder, spaced=True)
 
 
 def embed_queries(

@@ -10,11 +10,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from passages.functions.text import whole_div
+
 SEGMENT = 16_384
 
 
-def _segment(position: str, length: int) -> Column:
-    return F.floor(F.col(position) / length)
+def with_segment(df: DataFrame, position: str, length: int = SEGMENT) -> DataFrame:
+    """Add ``_seg``, the number of the segment that ``position`` lies in."""
+    return df.withColumn("_seg", whole_div(F.col(position).cast("long"), length))
 
 
 def running_total(
@@ -25,9 +28,14 @@ def running_total(
     name: str,
     inclusive: bool = True,
     segment: int = SEGMENT,
+    keep_segment: bool = False,
 ) -> DataFrame:
-    """Add ``name``: the sum of ``value`` over the rows of ``key`` up to ``position``."""
-    df = df.withColumn("_seg", _segment(position, segment)).withColumn("_val", value)
+    """Add ``name``: the sum of ``value`` over the rows of ``key`` up to ``position``.
+
+    ``keep_segment`` leaves the column ``_seg``; the rows are then already distributed
+    for an aggregation per key and segment.
+    """
+    df = with_segment(df, position, segment).withColumn("_val", value)
     inside = Window.partitionBy(key, "_seg").orderBy(position)
     upto = Window.currentRow if inclusive else -1
     local = df.withColumn(
@@ -44,7 +52,7 @@ def running_total(
     return (
         local.join(offsets, [key, "_seg"])
         .withColumn(name, F.col("_local") + F.col("_offset"))
-        .drop("_seg", "_val", "_local", "_total", "_offset")
+        .drop("_val", "_local", "_offset", *([] if keep_segment else ["_seg"]))
     )
 
 
@@ -57,17 +65,17 @@ def concat_ordered(
     separator: str = "",
     segment: int = SEGMENT,
 ) -> DataFrame:
-    """One row per key: the non-null texts joined in the order of ``position``."""
+    """One row per key: its texts joined in the order of ``position``, NULLs left out.
+
+    Rows that already carry ``_seg`` keep it.
+    """
     keys = [key] if isinstance(key, str) else list(key)
 
     def joined(order: str, value: str) -> Column:
         rows = F.sort_array(F.collect_list(F.struct(order, value)))
         return F.array_join(F.transform(rows, lambda r: r[value]), separator)
 
-    parts = (
-        df.where(F.col(text).isNotNull())
-        .withColumn("_seg", _segment(position, segment))
-        .groupBy(*keys, "_seg")
-        .agg(joined(position, text).alias("_part"))
-    )
+    if "_seg" not in df.columns:
+        df = with_segment(df, position, segment)
+    parts = df.groupBy(*keys, "_seg").agg(joined(position, text).alias("_part"))
     return parts.groupBy(*keys).agg(joined("_seg", "_part").alias(name))

@@ -36,13 +36,12 @@ def context_text(
 ) -> DataFrame:
     """``queries`` with ``context``: texts of the hits in rank order, joined by newlines.
 
-    A group holds the ``k`` hits of one query. A query without hits gets ``''``.
+    A group holds the ``k`` hits of one query; a hit without text is left out. A query
+    without hits gets ``''``.
     """
     ordered = F.sort_array(F.collect_list(F.struct(rank, text)))
-    joined = (
-        hits.where(F.col(text).isNotNull())
-        .groupBy(query_id)
-        .agg(F.array_join(F.transform(ordered, lambda r: r[text]), "\n").alias("context"))
+    joined = hits.groupBy(query_id).agg(
+        F.array_join(F.transform(ordered, lambda r: r[text]), "\n").alias("context")
     )
     return queries.join(joined, query_id, "left").withColumn(
         "context", F.coalesce("context", F.lit(""))

@@ -404,17 +404,14 @@ def topk_cosine(spark, sf):
 
 @query
 def topk_cosine_sparse(spark, sf):
-    def sparse(df: DataFrame) -> Column:
-        return embedding.hashed_sparse_vector(tx.words("text")).alias("vector")
-
-    asked = _questions(spark, sf)
-    chunks = _chunks(spark, sf)
-    return _hits(
-        search.topk_cosine_sparse(
-            asked.select("query_id", sparse(asked)),
-            chunks.select(points.point_id().alias("id"), sparse(chunks)),
-        )
+    words = embedding.spaced_words("text")
+    asked = _questions(spark, sf).select(
+        "query_id", embedding.hashed_sparse_vector(words).alias("vector")
+    )
+    stored = _chunks(spark, sf).select(
+        points.point_id().alias("id"), embedding.hashed_sparse_vector("text").alias("vector")
     )
+    return _hits(search.topk_cosine_sparse(asked, stored))
 
 
 @query

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from passages.functions.text import words
+from passages.functions.vectors import with_value
 from passages.operators.chunking import word_chunks
 from passages.operators.embedding import EMBEDDING_DIM, Embedder, embed_chunks, embed_queries
 from passages.operators.joins import join_lookup
@@ -35,18 +36,34 @@ def hit_texts(
     """Add ``text`` to hits, cutting only the chunks that were hit.
 
     Texts are fetched after the search and never travel with the vectors. Hits that
-    are known to be few go to the documents; more of them meet the documents in a
-    shuffle that spreads a document many queries found.
+    are known to be few go to the documents, grouped so that a document is split into
+    words once; more of them meet the documents in a shuffle that spreads a document
+    many queries found.
     """
     keyed = hits.withColumn("doc_id", point_doc("id"))
     texts = documents.select("doc_id", F.col("text").alias("_text"))
-    if most_hits * HIT_BYTES <= broadcast_bytes:
-        joined = texts.join(F.broadcast(keyed), "doc_id")
-    else:
+
+    def chunk(words: Column, id: Column) -> Column:
+        first = point_chunk(id) * (CHUNK_SIZE - OVERLAP) + 1
+        return F.array_join(F.slice(words, first, F.lit(CHUNK_SIZE)), " ")
+
+    if most_hits * HIT_BYTES > broadcast_bytes:
         joined = join_lookup(keyed, texts, "doc_id", ["query_id", "rank"], how="inner")
-    first = point_chunk("id") * (CHUNK_SIZE - OVERLAP) + 1
-    chunk = F.array_join(F.slice(words("_text"), first, F.lit(CHUNK_SIZE)), " ")
-    return joined.select("query_id", "id", "score", "rank", chunk.alias("text"))
+        text = chunk(words("_text"), F.col("id"))
+        return joined.select("query_id", "id", "score", "rank", text.alias("text"))
+    hit = F.struct("query_id", "id", "score", "rank")
+    by_document = keyed.groupBy("doc_id").agg(F.collect_list(hit).alias("_hits"))
+    with_text = with_value(
+        words("_text"),
+        lambda w: F.transform(
+            "_hits", lambda h: F.struct(h.alias("hit"), chunk(w, h["id"]).alias("text"))
+        ),
+    )
+    return (
+        texts.join(F.broadcast(by_document), "doc_id")
+        .select(F.explode(with_text).alias("_h"))
+        .select("_h.hit.*", "_h.text")
+    )
 
 
 def rag_prompts(

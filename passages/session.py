@@ -52,13 +52,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+# Writers close a row group, the least a task can read, at about this size.
+ROW_GROUP_BYTES = 128 << 20
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash ``df`` over the cores when its scan has fewer splits than cores.
+    """Hash a small scan over the cores when its files are fewer than the cores.
 
-    One file with one row group is one task however many cores wait. A scan that
-    already has a split per core is returned unchanged, so at scale this adds no
+    One file with one row group is one task however many cores wait. A scan with a
+    row group or a file per core is returned unchanged, so at scale this adds no
     shuffle. ``keys`` must be unique per row, or nearly so.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
-    return df if splits >= cores else df.repartition(2 * cores, *keys)
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size >= cores * ROW_GROUP_BYTES or len(df.inputFiles()) >= cores:
+        return df
+    return df.repartition(2 * cores, *keys)

@@ -12,7 +12,8 @@ from passages.session import spread
 def read_text_files(spark: SparkSession, path: str) -> DataFrame:
     """``(doc_id, text, source)``: one row per file, empty lines removed.
 
-    The id is a hash of the file's path, so it stays the same on every read.
+    The id is a hash of the file's path, so it stays the same on every read. Spark
+    passes over files of zero bytes.
     """
     files = spark.read.text(path, wholetext=True)
     location = F.col("_metadata.file_path")
