@@ -3,34 +3,27 @@
 1. Of identical vectors only the ``limit + 1`` smallest ids stay. A pair with any other
    copy is preceded by ``limit`` pairs of the same score and smaller ids, so no answer
    is lost, and a vector that a third of the table shares costs a handful of rows.
-2. Points go to the cell of their nearest pivot. Pivots are points, so a dense region
-   gets as many cells as it has mass.
-3. The best pairs inside blocks of cells give a floor under the answer's last score.
-4. A point visits another cell only if the triangle inequality allows a pair above that
-   floor there: its angle to the pivot is at most the cell's radius plus the floor's
-   angle, and at most its own pivot's angle plus twice the floor's angle.
-5. Cells are cut into blocks of ``block_rows``; a task multiplies two blocks and
+2. Points go to cells (see ``cells``). The best pairs inside blocks of cells give a
+   floor under the answer's last score.
+3. A point visits another cell only if a pair above that floor is possible there.
+4. Cells are cut into blocks of ``block_rows``; a task multiplies two blocks and
    returns ``limit`` pairs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from passages.operators.embedding import EMBEDDING_DIM
-from passages.operators.search import (
-    NO_SCORE, SCORE_UNIT, best_columns, score_units, vector_matrix,
+from passages.operators.cells import (
+    MAX_PIVOTS, SCORE_UNIT, Cells, array_of, few_copies, in_blocks, nonzero, upto, vector_matrix,
 )
+from passages.operators.embedding import EMBEDDING_DIM
+from passages.operators.search import NO_SCORE, best_columns, score_units
 
-MAX_PIVOTS = 2048
 PAIRS = "i bigint, j bigint, score_units bigint"
-# Slack for angles computed in floating point.
-ANGLE_SLACK = 1e-6
 
 
 def pairwise_similarity(
@@ -46,13 +39,7 @@ def pairwise_similarity(
     Equal scores (to six decimals) rank by ``i``, then ``j``; zero vectors have no score.
     """
     points = points.select(F.col(id).cast("long").alias("id"), F.col(vector).alias("v"))
-    copies = Window.partitionBy("v").orderBy("id")
-    points = (
-        points.where(F.exists("v", lambda x: x != 0))
-        .withColumn("copy", F.row_number().over(copies))
-        .where(F.col("copy") <= limit + 1)
-        .select("id", "v")
-    )
+    points = few_copies(points.where(nonzero("v")), limit + 1)
     pivots = min(-(-points.count() // block_rows), MAX_PIVOTS)
     if pivots <= 1:
         units = points.withColumn("side", F.lit(0)).groupBy(F.lit(0).alias("cell"))
@@ -71,86 +58,31 @@ def _ranked(pairs: DataFrame, limit: int) -> DataFrame:
 def _pairs_by_cell(
     points: DataFrame, limit: int, dim: int, block_rows: int, pivots: int
 ) -> DataFrame:
-    context = points.sparkSession.sparkContext
-    sample = points.orderBy(F.xxhash64("id"), "id").limit(pivots).toArrow()
-    centers = context.broadcast(_unit(vector_matrix(sample.column(1).combine_chunks(), dim)))
-
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            angles = _angles(batch.column(1), centers.value, dim)
-            cell = angles.argmin(axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(cell.astype(np.int32)),
-                 pa.array(angles[np.arange(len(cell)), cell])],
-                names=["id", "v", "cell", "angle"],
-            )
-
-    located = points.mapInArrow(assign, "id bigint, v array<float>, cell int, angle double")
-    # One row per pivot: bounded by MAX_PIVOTS.
-    homes, radius = np.zeros(pivots, dtype=np.int64), np.zeros(pivots)
-    for row in located.groupBy("cell").agg(F.count("*"), F.max("angle")).collect():
-        homes[row[0]], radius[row[0]] = row[1], row[2]
-    home_blocks = np.maximum(-(-homes // block_rows), 1)
-    counts = F.array(*[F.lit(int(n)) for n in home_blocks])
-    located = located.withColumn(
-        "block",
-        F.pmod(F.xxhash64("id"), F.element_at(counts, F.col("cell") + 1)).cast("int"),
-    )
-    inside = located.select("id", "v", F.lit(0).alias("side"), "cell", "block")
+    cells = Cells(points, dim, pivots, block_rows)
+    inside = cells.located.withColumn("side", F.lit(0))
     near = inside.groupBy("cell", "block").applyInArrow(
         _best_pairs(dim, limit, same_block=True), PAIRS
     )
-    floor = [row["score_units"] for row in
-             near.orderBy(F.desc("score_units"), "i", "j").limit(limit).collect()]
-    reach = np.pi
-    if len(floor) == limit:
-        reach = float(np.arccos(np.clip((floor[-1] - 1) / SCORE_UNIT, -1, 1))) + ANGLE_SLACK
-
-    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            angles = _angles(batch.column(1), centers.value, dim)
-            own = angles.argmin(axis=1)
-            nearest = angles[np.arange(len(own)), own][:, None]
-            row, cell = np.nonzero(
-                (angles <= np.minimum(radius + reach, nearest + 2 * reach))
-                & (np.arange(pivots) > own[:, None])
-            )
-            yield from pa.table(
-                [batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)),
-                 pa.array(cell.astype(np.int32))],
-                names=["id", "v", "cell"],
-            ).to_batches()
-
-    visitors = points.mapInArrow(visit, "id bigint, v array<float>, cell int")
-    guest_blocks = np.zeros(pivots, dtype=np.int64)
-    for row in visitors.groupBy("cell").count().collect():
-        guest_blocks[row[0]] = -(-row[1] // block_rows)
-    guests = F.array(*[F.lit(int(n)) for n in guest_blocks])
-    visitors = visitors.withColumn(
-        "block", F.pmod(F.xxhash64("id"), F.element_at(guests, F.col("cell") + 1)).cast("int")
+    best = near.orderBy(F.desc("score_units"), "i", "j").limit(limit).collect()
+    floor = best[-1]["score_units"] if len(best) == limit else None
+    visitors = cells.visits(
+        points.withColumn("floor", F.lit(floor).cast("bigint")), "bigint", "later"
     )
+    guests = cells.guest_blocks(visitors)
+    home_count = array_of(cells.blocks, F.col("cell"))
+    guest_count = array_of(guests, F.col("cell"))
 
     # A unit is a pair of blocks of a cell: home with a later home block, or home with
     # a visiting block. Pairs within one home block are already in ``near``.
-    home_count = F.element_at(counts, F.col("cell") + 1)
-    guest_count = F.element_at(guests, F.col("cell") + 1)
-
-    def upto(first, last):
-        return F.when(first <= last, F.sequence(first, last)).otherwise(
-            F.array().cast("array<int>")
-        )
-
-    as_left = upto(F.col("block") + 1, home_count + guest_count - 1)
-    as_right = upto(F.lit(0), F.col("block") - 1)
-    left = located.select(
+    left = cells.located.select(
         "id", "v", F.lit(0).alias("side"), "cell", F.col("block").alias("a"),
-        F.explode(as_left).alias("b"),
+        F.explode(upto(F.col("block") + 1, home_count + guest_count - 1)).alias("b"),
     )
-    right = located.select(
-        "id", "v", F.lit(1).alias("side"), "cell", F.explode(as_right).alias("a"),
-        F.col("block").alias("b"),
+    right = cells.located.select(
+        "id", "v", F.lit(1).alias("side"), "cell",
+        F.explode(upto(F.lit(0), F.col("block") - 1)).alias("a"), F.col("block").alias("b"),
     )
-    visiting = visitors.select(
+    visiting = in_blocks(visitors, guests).select(
         "id", "v", F.lit(1).alias("side"), "cell",
         F.explode(upto(F.lit(0), home_count - 1)).alias("a"),
         (home_count + F.col("block")).alias("b"),
@@ -161,14 +93,6 @@ def _pairs_by_cell(
     )
 
 
-def _unit(vectors: np.ndarray) -> np.ndarray:
-    return vectors / np.sqrt(np.square(vectors).sum(1, keepdims=True))
-
-
-def _angles(column: pa.Array, centers: np.ndarray, dim: int) -> np.ndarray:
-    return np.arccos(np.clip(_unit(vector_matrix(column, dim)) @ centers.T, -1, 1))
-
-
 def _best_pairs(dim: int, limit: int, same_block: bool):
     """Function from one block pair to its ``limit`` best pairs."""
 

@@ -13,7 +13,7 @@ from passages.operators import (
     assembly, chat, chunking, embedding, metrics, pairs, points, prompts, search, tokens,
 )
 from passages.operators.joins import join_lookup
-from passages.plans import rag
+from passages.plans import chats, rag, ranking
 from passages.session import scratch_path, spread
 from passages.sources import collections, documents, exchange
 from passages.streaming import assemble, ingest
@@ -419,6 +419,11 @@ def pairwise_similarity(spark, sf):
     return pairs.pairwise_similarity(_vectors(spark, sf), id="vec_id")
 
 
+@query
+def similar_texts(spark, sf):
+    return ranking.similar_texts(_table(spark, sf, "benchmark"))
+
+
 @query
 def quantize_vectors(spark, sf):
     coded = embedding.quantize_vectors(_vectors(spark, sf))
@@ -543,6 +548,14 @@ def chat_history(spark, sf):
     return history.select("conv_id", _long("turn"), _joined("history").alias("history"))
 
 
+@query
+def chat_context(spark, sf):
+    turns = _with_model(_turns(spark, sf))
+    vocab = _stored(spark, tokens.build_vocab(turns), "vocab")
+    context = chats.chat_context(turns, vocab, max_length=512, sample_length=101)
+    return context.select("conv_id", _long("turn"), _joined("ids").alias("ids"))
+
+
 @query
 def json_map_values(spark, sf):
     host = F.regexp_extract("url", r"^https?://([^/]+)/", 1)

@@ -107,6 +107,20 @@ found AS (
 pieces AS (
   SELECT seq_id, unnest(range(0, len(p))) AS pos, unnest(p) AS piece FROM found)"""
 
+FORMATTED = f"""
+users AS (
+  SELECT conv_id, turn, text, {MODEL} AS model,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n
+  FROM conversations WHERE role = 'user'),
+formatted AS (
+  SELECT conv_id, turn, model, CASE model
+    WHEN '7b-open-chat-3.5' THEN 'GPT4 Correct User: ' || text || '<|end_of_turn|>GPT4 Correct Assistant:'
+    WHEN '7b-zephyr-b' THEN CASE WHEN n = 1 THEN '<|system|>' || chr(10) || '</s>' || chr(10) ELSE '' END
+      || '<|user|>' || chr(10) || text || '</s>' || chr(10) || '<|assistant|>'
+    WHEN 'mixtral' THEN '[INST] ' || text || ' [/INST]'
+    ELSE text END AS prompt
+  FROM users)"""
+
 ASSEMBLED = _with(
     PIECES,
     r"""
@@ -330,6 +344,13 @@ SELECT a.vec_id AS i, b.vec_id AS j,
 FROM (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings) a
 JOIN (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings) b ON a.vec_id < b.vec_id
 ORDER BY score DESC, i, j LIMIT 5""",
+    "similar_texts": _with(_embedding("benchmark", "item_id", "vectors")) + """
+SELECT i, j, score, a.text AS text_i, b.text AS text_j FROM (
+  SELECT x.item_id AS i, y.item_id AS j,
+    round(list_dot_product(x.e, y.e) / nullif(sqrt(x.n * y.n), 0), 6) AS score
+  FROM vectors x JOIN vectors y ON x.item_id < y.item_id
+  ORDER BY score DESC, i, j LIMIT 5)
+JOIN benchmark a ON a.item_id = i JOIN benchmark b ON b.item_id = j""",
     "quantize_vectors": """
 WITH s AS (
   SELECT vec_id, embedding::DOUBLE[] AS e,
@@ -362,18 +383,7 @@ SELECT conv_id, turn, 1, 'second' FROM conversations WHERE role <> 'system'""",
     "stream_deltas": _with(PIECES) + """
 SELECT seq_id, string_agg(piece, '' ORDER BY pos) AS text FROM pieces GROUP BY seq_id""",
     "validate_structured": "SELECT conv_id, turn, role = 'user' AS is_valid FROM conversations",
-    "format_chat_turn": f"""
-WITH u AS (
-  SELECT conv_id, turn, text, {MODEL} AS model,
-    row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n
-  FROM conversations WHERE role = 'user')
-SELECT conv_id, turn, model, CASE model
-  WHEN '7b-open-chat-3.5' THEN 'GPT4 Correct User: ' || text || '<|end_of_turn|>GPT4 Correct Assistant:'
-  WHEN '7b-zephyr-b' THEN CASE WHEN n = 1 THEN '<|system|>' || chr(10) || '</s>' || chr(10) ELSE '' END
-    || '<|user|>' || chr(10) || text || '</s>' || chr(10) || '<|assistant|>'
-  WHEN 'mixtral' THEN '[INST] ' || text || ' [/INST]'
-  ELSE text END AS prompt
-FROM u""",
+    "format_chat_turn": _with(FORMATTED) + "SELECT conv_id, turn, model, prompt FROM formatted",
     "chat_messages": """
 SELECT conv_id, string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), ''
   ORDER BY turn) || '<|im_start|>assistant' || chr(10) AS prompt
@@ -390,6 +400,25 @@ past AS (
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS h FROM wrapped)""",
     ) + """
 SELECT conv_id, turn, array_to_string(h[greatest(len(h) - 255, 1) :], ' ') AS history FROM past""",
+    "chat_context": _with(
+        FORMATTED, _vocab("conversations"),
+        """
+said AS (
+  SELECT conv_id, turn, 'user' AS role, prompt AS text FROM formatted
+  UNION ALL
+  SELECT conv_id, turn, role, text FROM conversations WHERE role = 'assistant'),
+keyed AS (SELECT *, conv_id * 1048576 + turn AS seq_id FROM said)""",
+        _encoded("keyed", "seq_id"),
+        """
+wrapped AS (
+  SELECT k.conv_id, k.turn, k.role, list_concat([101], e.ids, [102]) AS ids
+  FROM encoded e JOIN keyed k ON k.seq_id = e.seq_id),
+past AS (
+  SELECT conv_id, turn, role, flatten(list(ids) OVER (PARTITION BY conv_id ORDER BY turn
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS h FROM wrapped)""",
+    ) + """
+SELECT conv_id, turn, array_to_string(h[greatest(len(h) - 401, 1) :], ' ') AS ids
+FROM past WHERE role = 'user'""",
     "json_map_values": """
 SELECT DISTINCT regexp_extract(url, '^https?://([^/]+)/', 1) AS value FROM pages""",
     "assemble_text": ASSEMBLED,
