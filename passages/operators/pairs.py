@@ -12,7 +12,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +20,7 @@ from passages.operators.cells import (
     MAX_PIVOTS, SCORE_UNIT, Cells, array_of, few_copies, in_blocks, nonzero, upto, vector_matrix,
 )
 from passages.operators.embedding import EMBEDDING_DIM
-from passages.operators.search import NO_SCORE, best_columns, score_units
+from passages.operators.scoring import best_pairs
 
 PAIRS = "i bigint, j bigint, score_units bigint"
 
@@ -39,7 +38,9 @@ def pairwise_similarity(
     Equal scores (to six decimals) rank by ``i``, then ``j``; zero vectors have no score.
     """
     points = points.select(F.col(id).cast("long").alias("id"), F.col(vector).alias("v"))
-    points = few_copies(points.where(nonzero("v")), limit + 1)
+    points = points.where(nonzero("v"))
+    if points.count() > block_rows:
+        points = few_copies(points, limit + 1)
     pivots = min(-(-points.count() // block_rows), MAX_PIVOTS)
     if pivots <= 1:
         units = points.withColumn("side", F.lit(0)).groupBy(F.lit(0).alias("cell"))
@@ -100,28 +101,11 @@ def _best_pairs(dim: int, limit: int, same_block: bool):
         side = table.column("side").to_numpy()
         ids = table.column("id").to_numpy()
         vectors = vector_matrix(table.column("v").combine_chunks(), dim)
-        order = np.argsort(ids, kind="stable")
-        side, ids, vectors = side[order], ids[order], vectors[order]
-        left = np.flatnonzero(side == 0)
-        right = left if same_block else np.flatnonzero(side == 1)
-        found: list[tuple[int, int, int]] = []
-        step = max((1 << 22) // max(len(right), 1), 1)
-        for start in range(0, len(left), step):
-            if not len(right):
-                break
-            rows = left[start:start + step]
-            units = score_units(vectors[rows], vectors[right])
-            if same_block:
-                units[ids[rows][:, None] >= ids[right][None, :]] = NO_SCORE
-            columns = best_columns(units, limit)
-            best = np.take_along_axis(units, columns, axis=1)
-            a = np.broadcast_to(ids[rows][:, None], best.shape)[best > NO_SCORE]
-            b = ids[right][columns][best > NO_SCORE]
-            u = best[best > NO_SCORE]
-            i, j = np.minimum(a, b), np.maximum(a, b)
-            keep = np.lexsort((j, i, -u))[:limit]
-            found.extend(zip(i[keep].tolist(), j[keep].tolist(), u[keep].tolist()))
-            found = sorted(found, key=lambda p: (-p[2], p[0], p[1]))[:limit]
+        if same_block:
+            found = best_pairs(ids, vectors, limit)
+        else:
+            left, right = side == 0, side == 1
+            found = best_pairs(ids[left], vectors[left], limit, ids[right], vectors[right])
         return pa.table(
             [pa.array([p[n] for p in found], pa.int64()) for n in range(3)],
             names=["i", "j", "score_units"],

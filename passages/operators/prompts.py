@@ -129,13 +129,16 @@ def _string_at(value: Column, path: str) -> Column:
     )
 
 
-def chat_response(df: DataFrame, body: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
+def chat_response(
+    df: DataFrame, body: str = "body", keep: tuple[str, ...] = (), fail_on_bad: bool = False
+) -> DataFrame:
     """``(keep, choice, content, bad_json)``: one row per choice with a string answer.
 
     Anything missing on the way is skipped. A body that is no JSON gives one row with
-    the body in ``bad_json``.
+    the body in ``bad_json``, or ends the job with ``fail_on_bad``.
     """
-    parsed = df.select(*keep, F.col(body).alias("_body"), F.try_parse_json(body).alias("_json"))
+    parse = F.parse_json if fail_on_bad else F.try_parse_json
+    parsed = df.select(*keep, F.col(body).alias("_body"), parse(body).alias("_json"))
     choices = F.try_variant_get("_json", "$.choices", "array<variant>")
     rows = parsed.select(
         *keep,

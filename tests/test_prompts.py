@@ -107,6 +107,8 @@ def test_chat_response(spark):
     assert rows == [(0, 0, "a", None), (0, 1, "b\n", None), (1, 4, "c", None)]
     bad = [tuple(r) for r in prompts.chat_response(df, keep=("n",)).collect() if r.bad_json]
     assert bad == [(5, None, None, "not json")]
+    with pytest.raises(Exception, match="MALFORMED"):
+        prompts.chat_response(df, fail_on_bad=True).collect()
 
 
 def test_stream_deltas(spark):

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from passages.functions.vectors import cosine_similarity, mean_of_vectors
-from passages.operators import embedding, search
+from passages.operators import embedding, scoring
 from passages.operators.pairs import pairwise_similarity
 from passages.operators.search import topk_cosine, topk_cosine_sparse
 
@@ -47,16 +47,31 @@ def test_topk_is_exact(spark, options, k):
     assert sorted(map(tuple, found.collect())) == _expected_topk(qids, q, pids, p, k)
 
 
-def test_topk_blocks_inside_a_task(spark, monkeypatch):
-    monkeypatch.setattr(search, "MATRIX_CELLS", 4096)
+def test_topk_blocks_inside_a_task(monkeypatch):
+    monkeypatch.setattr(scoring, "MATRIX_CELLS", 500)
+    monkeypatch.setattr(scoring, "FIRST_POINTS", 5)
+    monkeypatch.setattr(scoring, "EXACT_PAIRS", 16)
     rng = np.random.default_rng(5)
-    q, p = _copies(rng, 37, 4), _copies(rng, 150, 4)
-    best = search.Best(q, 3)
-    for part in np.array_split(rng.permutation(150), 4):
-        best.add(part, p[part])
-    rows = [(i, int(d), u / 1e6) for i in range(37) for d, u in zip(best.ids[i], best.units[i])
-            if u > search.NO_SCORE]
-    assert sorted(rows) == sorted(r[:3] for r in _expected_topk(range(37), q, range(150), p, 3))
+    for kind in (_copies, lambda r, n, d: r.normal(size=(n, d))):
+        q, p = kind(rng, 37, 4), kind(rng, 150, 4)
+        best = scoring.Best(q, 3)
+        for part in np.array_split(rng.permutation(150), 4):
+            best.add(part, p[part])
+        rows = [(int(i), int(d), u / 1e6) for i, d, u in zip(*best.found())]
+        assert sorted(rows) == sorted(r[:3] for r in _expected_topk(range(37), q, range(150), p, 3))
+
+
+def test_pairs_blocks_inside_a_task(monkeypatch):
+    monkeypatch.setattr(scoring, "MATRIX_CELLS", 500)
+    monkeypatch.setattr(scoring, "FIRST_POINTS", 5)
+    monkeypatch.setattr(scoring, "MOST_POINTS", 23)
+    monkeypatch.setattr(scoring, "EXACT_PAIRS", 16)
+    rng = np.random.default_rng(6)
+    for vectors in (_copies(rng, 120, 4), rng.normal(size=(120, 4))):
+        ids = rng.permutation(120)
+        for limit in (1, 6, 200):
+            found = [(i, j, u / 1e6) for i, j, u in scoring.best_pairs(ids, vectors, limit)]
+            assert found == _expected_pairs(ids, vectors, limit)
 
 
 def test_topk_filter_and_wrong_dimension(spark):
