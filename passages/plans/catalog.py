@@ -13,7 +13,7 @@ from passages.operators import (
     assembly, chat, chunking, embedding, metrics, pairs, points, prompts, search, tokens,
 )
 from passages.operators.joins import join_lookup
-from passages.plans import chats, rag, ranking
+from passages.plans import chats, rag, ranking, windows
 from passages.session import scratch_path, spread
 from passages.sources import collections, documents, exchange
 from passages.streaming import assemble, ingest
@@ -361,6 +361,14 @@ def embed_chunks(spark, sf):
     return vectors.select("doc_id", _long("chunk_no"), _whole("embedding").alias("embedding"))
 
 
+@query
+def window_vectors(spark, sf):
+    docs = _documents(spark, sf)
+    vocab = _stored(spark, tokens.build_vocab(docs), "vocab")
+    vectors = windows.window_vectors(docs, vocab)
+    return vectors.select("doc_id", _long("chunk_no"), _whole("embedding").alias("embedding"))
+
+
 @query
 def embed_queries(spark, sf):
     vectors = embedding.embed_queries(_questions(spark, sf))

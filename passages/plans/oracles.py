@@ -292,6 +292,22 @@ FROM t""",
 SELECT c.doc_id, c.chunk_no,
   array_to_string(list_transform(v.e, lambda x: x::INTEGER), ' ') AS embedding
 FROM chunks c JOIN vectors v ON v.id = c.id""",
+    "window_vectors": _with(
+        _vocab("documents"), _encoded("documents", "doc_id"),
+        """
+starts AS (
+  SELECT doc_id, ids, unnest(range(0, CAST(ceil(len(ids) / 410.0) AS BIGINT))) AS chunk_no
+  FROM encoded),
+listed AS (
+  SELECT doc_id * 1048576 + chunk_no AS key, unnest(w) AS token_id, unnest(range(len(w))) AS pos
+  FROM (SELECT doc_id, chunk_no, ids[chunk_no * 410 + 1 : chunk_no * 410 + 510] AS w FROM starts)),
+windows AS (
+  SELECT l.key, coalesce(string_agg(v.token, ' ' ORDER BY l.pos), '') AS text
+  FROM listed l LEFT JOIN vocab v ON v.id = l.token_id AND v.id >= 1000 GROUP BY l.key)""",
+        _embedding("windows", "key", "vectors"),
+    ) + """
+SELECT key // 1048576 AS doc_id, key % 1048576 AS chunk_no,
+  array_to_string(list_transform(e, lambda x: x::INTEGER), ' ') AS embedding FROM vectors""",
     "embed_queries": _with(QUESTIONS, _embedding("questions", "query_id", "asked")) + """
 SELECT query_id, array_to_string(list_transform(e, lambda x: x::INTEGER), ' ') AS embedding
 FROM asked""",
