@@ -201,3 +201,40 @@ def cut_points(values: np.ndarray, bits: int, buckets: int) -> np.ndarray:
 def lists_of(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
+
+
+def among(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Which ``values`` are in ``wanted``, which is sorted."""
+    if not len(wanted):
+        return np.zeros(len(values), bool)
+    at = np.minimum(np.searchsorted(wanted, values), len(wanted) - 1)
+    return wanted[at] == values
+
+
+def shared_values(runs_of_values: list[np.ndarray]) -> np.ndarray:
+    """Values that occur more than once in several sorted arrays, sorted."""
+    together = np.sort(np.concatenate([np.zeros(0, np.uint64), *runs_of_values]))
+    again = together[1:][together[1:] == together[:-1]]
+    return again[np.r_[True, again[1:] != again[:-1]]] if len(again) else again
+
+
+def binary_rows(names: list[str], rows: list[tuple]) -> pa.RecordBatch:
+    """Rows ``(bucket, part, binary, ...)`` as a batch."""
+    columns = list(zip(*rows))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()),
+         *[pa.array(c, pa.binary()) for c in columns[2:]]], names,
+    )
+
+
+def lists_by_document(table: pa.Table, value: str) -> pa.Table:
+    """``(doc_id, value)`` from the rows ``(docs, doc, value)`` of one group of documents."""
+    ids = next((unpack_ints(x) for x in table["docs"].to_pylist() if x), np.zeros(0, np.uint64))
+    doc = np.concatenate([unpack_ints(x) for x in table["doc"].to_pylist()]).astype(np.int64)
+    found = np.concatenate([unpack_ints(x) for x in table[value].to_pylist()]).astype(np.int64)
+    order = np.argsort(doc, kind="stable")
+    own, counts = np.unique(doc, return_counts=True)
+    return pa.table(
+        [ids[own].view(np.int64), lists_of(found[order], counts, pa.int32())],
+        names=["doc_id", value],
+    )

@@ -29,9 +29,10 @@ from pyspark.sql import functions as F
 from passages.llm.common import small, store
 from passages.llm.components import components
 from passages.llm.hashing import (
-    Words, WordHasher, cut_points, mix, pack_ints, run_starts, runs, unpack_ints, word_groups,
+    Words, WordHasher, among, binary_rows, cut_points, mix, pack_ints, run_starts, runs,
+    shared_values, unpack_ints, word_groups,
 )
-from passages.llm.repeats import ranges_for
+from passages.llm.repeats import numbered, ranges_for
 
 SHINGLE_WORDS = 5
 PERCENT = 75
@@ -106,11 +107,9 @@ def shared_counts(texts: DataFrame, buckets: int, bits: int) -> DataFrame:
     shift = np.uint64(64 - bits)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        task, number = TaskContext.get().partitionId(), 0
         names = ["bucket", "part", "docs", "here", "once", "once_doc", "more"]
-        for kept, words in word_groups(batches, WordHasher(1, fold_case=True), GROUP_WORDS):
+        groups = word_groups(batches, WordHasher(1, fold_case=True), GROUP_WORDS)
+        for part, (kept, words) in numbered(groups):
             ids = _ids(kept)
             doc, prints = shingle_sets(words)
             prints = prints >> shift
@@ -121,30 +120,24 @@ def shared_counts(texts: DataFrame, buckets: int, bits: int) -> DataFrame:
             here = np.bincount(doc[np.repeat(~single, times)], minlength=len(ids))
             once, once_doc, more = values[single], doc[first[single]], values[~single]
             own, others = cut_points(once, bits, buckets), cut_points(more, bits, buckets)
-            part = (task << 32) + number
+            home = part % buckets
             rows = []
             for b in range(buckets):
                 o, m = slice(own[b], own[b + 1]), slice(others[b], others[b + 1])
-                home = b == part % buckets
                 rows.append((
-                    b, part, ids.tobytes() if home else b"", pack_ints(here) if home else b"",
+                    b, part, pack_ints(ids.view(np.uint64)) if b == home else b"",
+                    pack_ints(here) if b == home else b"",
                     pack_ints(once[o], True), pack_ints(once_doc[o]), pack_ints(more[m], True),
                 ))
-            number += 1
-            columns = list(zip(*rows))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()),
-                 *[pa.array(c, pa.binary()) for c in columns[2:]]], names
-            )
+            yield binary_rows(names, rows)
 
     def answer(table: pa.Table) -> pa.Table:
         once = [unpack_ints(x, True) for x in table["once"].to_pylist()]
         more = [unpack_ints(x, True) for x in table["more"].to_pylist()]
-        values, times = np.unique(np.concatenate([*once, *more, *more]), return_counts=True)
-        shared = values[times > 1]
+        shared = shared_values([*once, *more, *more])
         counts = []
         for prints, doc, here in zip(once, table["once_doc"].to_pylist(), table["here"].to_pylist()):
-            hit = unpack_ints(doc)[np.isin(prints, shared)].astype(np.int64)
+            hit = unpack_ints(doc)[among(prints, shared)].astype(np.int64)
             found, here = np.bincount(hit), unpack_ints(here).astype(np.int64)
             total = np.zeros(max(len(found), len(here)), np.int64)
             total[: len(found)] += found
@@ -154,7 +147,7 @@ def shared_counts(texts: DataFrame, buckets: int, bits: int) -> DataFrame:
                         names=["part", "docs", "counts"])
 
     def add_up(table: pa.Table) -> pa.Table:
-        ids = next((np.frombuffer(x, np.int64) for x in table["docs"].to_pylist() if x),
+        ids = next((unpack_ints(x).view(np.int64) for x in table["docs"].to_pylist() if x),
                    np.zeros(0, np.int64))
         total = np.zeros(len(ids), np.int64)
         for packed in table["counts"].to_pylist():
