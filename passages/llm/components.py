@@ -1,44 +1,53 @@
-"""Connected components of a table of edges, by alternating star joins."""
+"""Connected components of a table of edges, by hooking to minima and pointer jumping."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from passages.llm.common import store
+from passages.llm.common import small, store
+
+# Tables of labels of at most so many rows are shipped; beyond, joins are shuffled.
+SHIPPED_ROWS = 250_000
+JUMPS = 2
+
+
+def follow(table: DataFrame, column: str, parents: DataFrame) -> DataFrame:
+    """``table`` with ``column`` replaced by its parent, where it has one."""
+    found = parents.select(F.col("node").alias("_node"), F.col("component").alias("_parent"))
+    joined = table.join(found, table[column] == F.col("_node"), "left")
+    return joined.select(
+        *[F.coalesce("_parent", column).alias(c) if c == column else F.col(c) for c in table.columns]
+    )
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``(node, component)``: the smallest id reachable from each node of ``(a, b)``.
 
-    Large stars tie every larger neighbour of a node to the smallest one, small stars the
-    smaller ones and the node itself, until nothing changes. Minima are combined before
-    the shuffle, and a node with very many neighbours is a skewed join key, which
-    adaptive execution splits. Each round goes on from files. An empty table has none.
+    In a round every node hooks to its smallest neighbour, if that is smaller than itself;
+    chains of hooks are shortened; edges then join components, and those inside one go.
+    Minima are combined before the shuffle. Tables of parents are shipped while small and
+    else joined by shuffles, whose skewed keys adaptive execution splits. Each round goes
+    on from files. An empty table has no nodes.
     """
-    current = store(
-        edges.where("a <> b")
-        .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
-        "edges",
-    )
-    mark = None
+    current = edges.where("a <> b").select("a", "b")
+    labels = None
     while True:
-        both = current.union(current.select("v", "u")).toDF("u", "v")
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), "m")
-        large = large.where("u <> m").distinct().toDF("u", "v")
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
-            large.join(lowest, "u").where("v <> m").select(F.col("v").alias("u"), "m")
-            .union(lowest).distinct().toDF("u", "v")
+        both = current.union(current.select("b", "a")).toDF("node", "other")
+        hooks = store(
+            both.groupBy("node").agg(F.least(F.min("other"), "node").alias("component")), "hooks"
+        )
+        moved = small(hooks.where("component < node"), SHIPPED_ROWS)
+        parents = hooks
+        for _ in range(JUMPS):
+            parents = follow(parents, "component", moved)
+        parents = store(parents, "parents")
+        shipped = small(parents, SHIPPED_ROWS)
+        labels = parents if labels is None else store(
+            follow(labels, "component", shipped), "labels"
         )
-        current = store(small, "stars")
-        found = current.agg(
-            F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")
-        ).first()
-        if mark == (found.n, found.h):
-            break
-        mark = (found.n, found.h)
-    tied = current.groupBy("u").agg(F.min("v").alias("component"))
-    roots = tied.select(F.col("component").alias("node"), "component").distinct()
-    return tied.toDF("node", "component").union(roots)
+        for end in ("a", "b"):
+            current = follow(current, end, shipped)
+        current = store(current.where("a <> b").distinct(), "edges")
+        if current.isEmpty():
+            return labels

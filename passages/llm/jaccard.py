@@ -23,11 +23,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from passages.llm.common import small, store
-from passages.llm.components import components
+from passages.llm.components import components, follow
 from passages.llm.hashing import (
     Words, WordHasher, among, binary_rows, cut_points, mix, pack_ints, run_starts, runs,
     shared_values, unpack_ints, word_groups,
@@ -36,13 +36,14 @@ from passages.llm.repeats import numbered, ranges_for
 
 SHINGLE_WORDS = 5
 PERCENT = 75
-GROUP_WORDS = 2_000_000
+GROUP_WORDS = 1_000_000
 # A shingle in more sets than this is frequent.
 RARE = 16
 # Sets below this size index frequent shingles one by one too.
 SMALL_SET = 64
 SHIPPED_ROWS = 250_000
 PIVOT_GROWTH = 8
+MOST_PAIRS_PER_ENTRY = 64
 
 
 def shingle_sets(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -58,7 +59,10 @@ def shingle_sets(words: Words) -> tuple[np.ndarray, np.ndarray]:
         if len(short):
             whole = runs(words.hashes, length, seed=100 + length)[words.first[short]]
             doc, hashes = np.concatenate([doc, short]), np.concatenate([hashes, whole])
-    order = np.lexsort((hashes, doc))
+    # Few documents: then the second, stable sort is by radix.
+    order = np.argsort(hashes)
+    narrow = doc[order].astype(np.uint16 if len(words.counts) < 1 << 16 else np.int64)
+    order = order[np.argsort(narrow, kind="stable")]
     doc, hashes = doc[order], hashes[order]
     new = np.ones(len(doc), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (hashes[1:] != hashes[:-1])
@@ -88,7 +92,7 @@ def set_table(texts: DataFrame) -> DataFrame:
     """``(doc_id, n, s1, s2)``: size and mark of each document's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for kept, words in word_groups(batches, WordHasher(1, fold_case=True), GROUP_WORDS):
+        for kept, words in word_groups(batches, WordHasher(1, fold_case=True), GROUP_WORDS // 4):
             ids = _ids(kept)
             marks = set_marks(*shingle_sets(words), len(ids))
             yield pa.RecordBatch.from_arrays(
@@ -193,40 +197,56 @@ def sets_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, n bigint, shingles array<bigint>")
 
 
-def signatures_of(n: int, shingles: np.ndarray, times: np.ndarray) -> np.ndarray:
+def signatures_of(
+    n: int, shingles: np.ndarray, times: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of a set: rare shingles of its prefix, and combinations of frequent ones.
 
     ``shingles`` are those that occur in other sets too, from rare to frequent; the others
     of the ``n`` come before them in the order but have no one to meet. A set is indexed
     for its own size class and the next one, so sets whose sizes allow a link meet in one.
+
+    The second array is each signature's room: how many shingles the set can share at most
+    with a set that it meets here and in no earlier entry. Before the first shingle of a
+    combination up to ``classes`` shared ones may stand, as they may be alone in theirs.
     """
     alone = n - len(shingles)
     frequent = times > RARE
     level = int(np.floor(np.log(n) / np.log(4 / 3) + 1e-9))
-    out = []
+    room = len(shingles) - np.arange(len(shingles))
+    found, rooms = [], []
     for at in (level, level + 1):
         size = (4 / 3) ** at
         classes = int(size) // 16 if size >= SMALL_SET else 0
         prefix = max(n - required(n) + 1 + classes - alone, 0)
-        own, often = shingles[:prefix], frequent[:prefix]
-        out.append(own[~often] if classes else own)
+        own, often, left_over = shingles[:prefix], frequent[:prefix], room[:prefix]
+        single = ~often if classes else np.ones(len(own), bool)
+        # Frequent shingles shared before a rare one cannot be: the order is by rarity.
+        found.append(own[single])
+        rooms.append(left_over[single])
         if not classes:
             continue
-        own = own[often]
+        own, left_over = own[often], left_over[often]
         group = own % np.uint64(classes)
         order = np.argsort(group, kind="stable")
-        own, group = own[order], group[order]
+        own, group, left_over = own[order], group[order], left_over[order]
         ends = np.searchsorted(group, group, side="right")
         partners = ends - np.arange(len(own)) - 1
         left = np.repeat(np.arange(len(own)), partners)
         right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(partners) - partners, partners)
         low, high = np.minimum(own[left], own[right]), np.maximum(own[left], own[right])
-        out.append(mix(low * np.uint64(3) + mix(high) + np.uint64(at) * np.uint64(0x9E3779B9)))
-    return np.unique(np.concatenate(out))
+        found.append(mix(low * np.uint64(3) + mix(high) + np.uint64(at) * np.uint64(0x9E3779B9)))
+        rooms.append(np.minimum(left_over[left] + classes, len(shingles)))
+    signatures, rooms = np.concatenate(found), np.concatenate(rooms)
+    order = np.lexsort((-rooms, signatures))
+    signatures, rooms = signatures[order], rooms[order]
+    new = np.ones(len(signatures), bool)
+    new[1:] = signatures[1:] != signatures[:-1]
+    return signatures[new], rooms[new]
 
 
 def index_entries(sets: DataFrame) -> DataFrame:
-    """``(sig, doc_id, n)``: the index entries of all sets."""
+    """``(sig, doc_id, n, room)``: the index entries of all sets."""
     tokens = sets.select("doc_id", "n", F.explode("shingles").alias("h"))
     counted = tokens.withColumn("times", F.count("*").over(Window.partitionBy("h")))
     ordered = (
@@ -243,13 +263,15 @@ def index_entries(sets: DataFrame) -> DataFrame:
                 signatures_of(int(n), h.values.to_numpy().view(np.uint64), t.values.to_numpy())
                 for n, h, t in zip(sizes, batch.column(2), batch.column(3))
             ]
-            for at, own in enumerate(found):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(own.view(np.int64)), pa.array(np.full(len(own), ids[at])),
-                     pa.array(np.full(len(own), sizes[at]))], ["sig", "doc_id", "n"],
-                )
+            counts = [len(own) for own, _ in found]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([own.view(np.int64) for own, _ in found])),
+                 pa.array(np.repeat(ids, counts)), pa.array(np.repeat(sizes, counts)),
+                 pa.array(np.concatenate([room for _, room in found]), pa.int64())],
+                ["sig", "doc_id", "n", "room"],
+            )
 
-    return ordered.mapInArrow(run, "sig bigint, doc_id bigint, n bigint")
+    return ordered.mapInArrow(run, "sig bigint, doc_id bigint, n bigint, room bigint")
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -259,49 +281,71 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     both = F.size(F.array_intersect("sa", "sb"))
     either = F.size("sa") + F.size("sb") - both
     return (
-        pairs.join(right, "b").join(left, "a")
+        right.join(small(pairs, SHIPPED_ROWS), "b").join(left, "a")
         .where(both * 100 >= either * PERCENT).select("a", "b")
     )
 
 
+def may_link(n: str, room: str, other_n: str, other_room: str) -> Column:
+    """Whether sizes and rooms allow the overlap that a link of the two sets needs."""
+    need = (F.col(n) + F.col(other_n)) * PERCENT
+    return (F.least(n, other_n) * 100 >= F.greatest(n, other_n) * PERCENT) & (
+        F.least(room, other_room) * (100 + PERCENT) >= need
+    )
+
+
 def set_components(sets: DataFrame) -> DataFrame:
-    """``(node, component)`` of the sets that link to another one."""
-    spark = sets.sparkSession
+    """``(node, component)`` of the sets that link to another one.
+
+    First the smallest id of each index entry is its pivot. What entries then still hold
+    in different components is compared whole if those pairs are few for the number of
+    entries, and else pivot by pivot, eight times as many in each round, with components
+    merged in between.
+    """
     entries = store(index_entries(sets), "entries")
-    spans = entries.groupBy("sig").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-    entries = store(
-        entries.join(spans.where("lo < hi").select("sig"), "sig", "left_semi"), "entries"
-    )
     entries = entries.withColumn("component", F.col("doc_id"))
-    edges = spark.createDataFrame([], "a bigint, b bigint")
-    labels = spark.createDataFrame([], "node bigint, component bigint")
+    edges = labels = None
     done, pivots = 0, 1
-    while not entries.isEmpty():
-        order = Window.partitionBy("sig").orderBy("doc_id")
-        first = (
-            entries.withColumn("place", F.row_number().over(order))
-            .where(F.col("place") <= pivots).where(F.col("place") > done)
-            .select("sig", F.col("doc_id").alias("a"), F.col("n").alias("na"),
-                    F.col("component").alias("ca"))
-        )
-        pairs = (
-            entries.join(first, "sig")
-            .where("doc_id > a AND component <> ca")
-            .where(F.least("n", "na") * 100 >= F.greatest("n", "na") * PERCENT)
-            .select("a", F.col("doc_id").alias("b")).distinct()
-        )
-        edges = store(edges.union(linked(store(pairs, "pairs"), sets)), "links")
-        labels = store(components(edges), "labels")
-        entries = entries.select("sig", "doc_id", "n").join(
-            labels.withColumnRenamed("node", "doc_id"), "doc_id", "left"
-        ).select("sig", "doc_id", "n", F.coalesce("component", "doc_id").alias("component"))
-        open_ = entries.groupBy("sig").agg(
+    while True:
+        state = entries.groupBy("sig").agg(
             F.min("component").alias("lo"), F.max("component").alias("hi"),
             F.count("*").alias("members"),
-        ).where(F.col("lo") < F.col("hi")).where(F.col("members") > pivots)
-        entries = store(entries.join(open_.select("sig"), "sig", "left_semi"), "entries")
+            F.min(F.struct("doc_id", "n", "room", "component")).alias("p"),
+        ).where(F.col("lo") < F.col("hi")).where(F.col("members") > done)
+        held = entries.join(state.select("sig", "members", "p"), "sig")
+        if done:
+            held = store(held, "entries")
+            size = held.agg(F.count("*").alias("rows"),
+                            F.sum(F.col("members") - 1).alias("pairs")).first()
+            if not size.rows:
+                return labels
+            whole = size.pairs <= MOST_PAIRS_PER_ENTRY * size.rows
+        if not done:
+            # A pivot is compared with all others of its entry; the rest waits.
+            pairs = held.where("doc_id > p.doc_id").where(may_link("n", "room", "p.n", "p.room")).select(
+                F.col("p.doc_id").alias("a"), F.col("doc_id").alias("b"))
+        else:
+            first = held
+            if not whole:
+                order = Window.partitionBy("sig").orderBy("doc_id")
+                first = held.withColumn("place", F.row_number().over(order)).where(
+                    F.col("place") <= pivots)
+            first = first.select("sig", F.col("doc_id").alias("a"), F.col("n").alias("na"),
+                                 F.col("room").alias("ra"), F.col("component").alias("ca"))
+            pairs = (
+                held.join(first, "sig").where("doc_id > a AND component <> ca")
+                .where(may_link("n", "room", "na", "ra")).select("a", F.col("doc_id").alias("b"))
+            )
+        found = linked(store(pairs.distinct(), "pairs"), sets)
+        edges = store(found if edges is None else edges.union(found), "links")
+        labels = store(components(edges), "labels")
+        if done and whole:
+            return labels
+        entries = follow(
+            held.select("sig", "doc_id", "n", "room", F.col("doc_id").alias("component")), "component",
+            small(labels, SHIPPED_ROWS),
+        )
         done, pivots = pivots, pivots * PIVOT_GROWTH
-    return labels
 
 
 def similar_sets(documents: DataFrame) -> DataFrame:
