@@ -25,11 +25,12 @@ from pyspark.sql import functions as F
 
 from passages.llm.common import map_texts
 from passages.llm.hashing import (
-    Words, WordHasher, cut_points, lists_of, pack_ints, run_starts, runs, unpack_ints, word_groups,
+    Words, WordHasher, among, binary_rows, cut_points, lists_by_document, pack_ints, run_starts,
+    runs, shared_values, unpack_ints, word_groups,
 )
 
 WINDOW = 20
-GROUP_WORDS = 3_000_000
+GROUP_WORDS = 1_500_000
 # Text whose probes make up one range: what one task of the index holds.
 RANGE_BYTES = 16 << 20
 LOW = np.uint64(0xFFFFFFFF)
@@ -94,27 +95,37 @@ def repeated_positions(texts: DataFrame, window: int = WINDOW) -> DataFrame:
     )
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for kept, words in word_groups(batches, WordHasher(1, fold_case=False), GROUP_WORDS):
+        groups = word_groups(batches, WordHasher(1, fold_case=False), GROUP_WORDS)
+        for part, (kept, words) in numbered(groups):
             docs = np.concatenate([b.column(0).to_numpy() for b in kept])
             over = candidate_windows([b.column(1) for b in kept], words, block, window)
-            yield from window_rows(docs, words, over, window, buckets)
-
-    def first_places(table: pa.Table) -> pa.Table:
-        docs, starts = later_places(table)
-        order = np.argsort(docs, kind="stable")
-        found, counts = np.unique(docs, return_counts=True)
-        return pa.table([found, lists_of(starts[order], counts, pa.int32())],
-                        names=["doc_id", "starts"])
+            yield from window_rows(part, docs, words, over, window, buckets)
 
     shipped = candidates.mapInArrow(
         windows,
-        "bucket int, docs binary, h1 binary, h2 binary, doc binary, start binary, "
+        "bucket int, part bigint, docs binary, h1 binary, h2 binary, doc binary, start binary, "
         "gone_doc binary, gone_start binary",
     )
     later = shipped.groupBy("bucket").applyInArrow(
-        first_places, "doc_id bigint, starts array<int>"
+        later_places, "part bigint, docs binary, doc binary, starts binary"
     )
-    return later.groupBy("doc_id").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    return by_document(later, "starts")
+
+
+def numbered(groups: Iterator) -> Iterator[tuple[int, object]]:
+    """Groups of a task with numbers that no other task gives."""
+    from pyspark import TaskContext
+
+    task = TaskContext.get().partitionId() << 32
+    return ((task + number, group) for number, group in enumerate(groups))
+
+
+def by_document(rows: DataFrame, value: str) -> DataFrame:
+    """``(doc_id, value)``, a list for each document, from ``(part, docs, doc, value)``."""
+    lists = rows.groupBy("part").applyInArrow(
+        lambda table: lists_by_document(table, value), f"doc_id bigint, {value} array<int>"
+    )
+    return lists.groupBy("doc_id").agg(F.flatten(F.collect_list(value)).alias(value))
 
 
 def matched_blocks(texts: DataFrame, block: int, buckets: int, bits: int) -> DataFrame:
@@ -122,13 +133,15 @@ def matched_blocks(texts: DataFrame, block: int, buckets: int, bits: int) -> Dat
     shift = np.uint64(64 - bits)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["bucket", "docs", "probes", "again", "block", "block_doc", "block_no"]
-        for kept, words in word_groups(batches, WordHasher(1, fold_case=False), GROUP_WORDS):
+        names = ["bucket", "part", "docs", "probes", "again", "own", "doc", "number"]
+        groups = word_groups(batches, WordHasher(1, fold_case=False), GROUP_WORDS)
+        for part, (kept, words) in numbered(groups):
             docs = np.concatenate([b.column(0).to_numpy() for b in kept])
             prints = runs(words.hashes, block) >> shift
             at, counts = run_starts(words.first, block)
-            probes, times = np.unique(prints[at], return_counts=True)
-            again = probes[times > 1]
+            ordered = np.sort(prints[at])
+            new = np.r_[True, ordered[1:] != ordered[:-1]] if len(ordered) else np.zeros(0, bool)
+            probes, again = ordered[new], shared_values([ordered])
             doc = np.repeat(np.arange(len(docs)), counts)
             offset = at - words.first[doc]
             anchored = offset % block == 0
@@ -136,45 +149,37 @@ def matched_blocks(texts: DataFrame, block: int, buckets: int, bits: int) -> Dat
             order = np.argsort(own, kind="stable")
             doc, number, own = doc[order], number[order], own[order]
             cuts = [cut_points(x, bits, buckets) for x in (probes, again, own)]
-            packed = docs.tobytes()
+            home, packed = part % buckets, pack_ints(docs.view(np.uint64))
             rows = []
             for b in range(buckets):
                 p, a, o = (slice(c[b], c[b + 1]) for c in cuts)
-                if p.start < p.stop:
-                    rows.append((b, packed, pack_ints(probes[p], True), pack_ints(again[a], True),
-                                 pack_ints(own[o], True), pack_ints(doc[o]), pack_ints(number[o])))
-            if rows:
-                columns = list(zip(*rows))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[0], pa.int32()),
-                     *[pa.array(c, pa.binary()) for c in columns[1:]]], names
-                )
+                rows.append((b, part, packed if b == home else b"", pack_ints(probes[p], True),
+                             pack_ints(again[a], True), pack_ints(own[o], True),
+                             pack_ints(doc[o]), pack_ints(number[o])))
+            yield binary_rows(names, rows)
 
     def probe(table: pa.Table) -> pa.Table:
-        columns = {n: table[n].to_pylist() for n in table.column_names if n != "bucket"}
-        seen = np.concatenate([unpack_ints(x, True) for x in columns["probes"] + columns["again"]])
-        values, times = np.unique(seen, return_counts=True)
-        shared = values[times > 1]
-        docs, blocks = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        rows = zip(columns["docs"], columns["block"], columns["block_doc"], columns["block_no"])
-        for ids, own, doc, number in rows:
-            own = unpack_ints(own, True)
-            hit = np.isin(own, shared, assume_unique=False)
-            docs.append(np.frombuffer(ids, np.int64)[unpack_ints(doc)[hit].astype(np.int64)])
-            blocks.append(unpack_ints(number)[hit].astype(np.int64))
-        docs, blocks = np.concatenate(docs), np.concatenate(blocks)
-        order = np.argsort(docs, kind="stable")
-        found, counts = np.unique(docs, return_counts=True)
-        return pa.table([found, lists_of(blocks[order], counts, pa.int32())],
-                        names=["doc_id", "blocks"])
+        seen = table["probes"].to_pylist() + table["again"].to_pylist()
+        shared = shared_values([unpack_ints(x, True) for x in seen])
+        docs, blocks = [], []
+        for own, doc, number in zip(*(table[n].to_pylist() for n in ("own", "doc", "number"))):
+            hit = among(unpack_ints(own, True), shared)
+            docs.append(pack_ints(unpack_ints(doc)[hit]))
+            blocks.append(pack_ints(unpack_ints(number)[hit]))
+        return pa.table(
+            [table["part"], table["docs"], pa.array(docs, pa.binary()), pa.array(blocks, pa.binary())],
+            names=["part", "docs", "doc", "blocks"],
+        )
 
     shipped = texts.mapInArrow(
         index,
-        "bucket int, docs binary, probes binary, again binary, block binary, "
-        "block_doc binary, block_no binary",
+        "bucket int, part bigint, docs binary, probes binary, again binary, own binary, "
+        "doc binary, number binary",
+    )
+    hits = shipped.groupBy("bucket").applyInArrow(
+        probe, "part bigint, docs binary, doc binary, blocks binary"
     )
-    hits = shipped.groupBy("bucket").applyInArrow(probe, "doc_id bigint, blocks array<int>")
-    return hits.groupBy("doc_id").agg(F.flatten(F.collect_list("blocks")).alias("blocks"))
+    return by_document(hits, "blocks")
 
 
 def candidate_windows(
@@ -194,8 +199,23 @@ def candidate_windows(
     return np.flatnonzero(np.cumsum(change) > 0)
 
 
+def first_of_each(
+    h1: np.ndarray, h2: np.ndarray, docs: np.ndarray, start: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of the places of windows by hash and place, the first of each, and the later.
+
+    A place that equals the first (a repeated row) is not a later one.
+    """
+    order = np.lexsort((start, docs, h2, h1))
+    h1, h2, docs, start = h1[order], h2[order], docs[order], start[order]
+    new = np.ones(len(h1), bool)
+    new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
+    lead = np.flatnonzero(new)[np.cumsum(new) - 1]
+    return order, new, (docs != docs[lead]) | (start != start[lead])
+
+
 def window_rows(
-    docs: np.ndarray, words: Words, at: np.ndarray, window: int, buckets: int
+    part: int, docs: np.ndarray, words: Words, at: np.ndarray, window: int, buckets: int
 ) -> Iterator[pa.RecordBatch]:
     """The first place of each window of a group, by ranges of its hash; later ones apart."""
     if not len(at):
@@ -204,47 +224,51 @@ def window_rows(
     h2 = runs(words.hashes, window, seed=12)[at] & LOW
     doc = np.searchsorted(words.first, at, side="right") - 1
     start = at - words.first[doc]
-    order = np.lexsort((start, docs[doc], h2, h1))
-    h1, h2, doc, start = h1[order], h2[order], doc[order], start[order]
-    new = np.ones(len(h1), bool)
-    new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
-    lead = np.flatnonzero(new)[np.cumsum(new) - 1]
-    later = (docs[doc] != docs[doc[lead]]) | (start != start[lead])
-    all_h1, gone_doc, gone_start = h1[later], doc[later], start[later]
-    h1, h2, doc, start = h1[new], h2[new], doc[new], start[new]
-    own, gone = cut_points(h1, 64, buckets), cut_points(all_h1, 64, buckets)
+    order, new, later = first_of_each(h1, h2, docs[doc], start)
+    gone = np.sort(order[later])
+    order = order[new]
+    h1, h2, own_doc, own_start = h1[order], h2[order], doc[order], start[order]
+    cuts, home = cut_points(h1, 64, buckets), part % buckets
     rows = []
     for b in range(buckets):
-        o, g = slice(own[b], own[b + 1]), slice(gone[b], gone[b + 1])
-        if o.start == o.stop:
+        o = slice(cuts[b], cuts[b + 1])
+        at_home = b == home
+        if o.start == o.stop and not at_home:
             continue
-        by_place = np.lexsort((gone_start[g], gone_doc[g]))
         rows.append((
-            b, docs.tobytes(), pack_ints(h1[o], True), pack_ints(h2[o]), pack_ints(doc[o]),
-            pack_ints(start[o]), pack_ints(gone_doc[g][by_place], True),
-            pack_ints(gone_start[g][by_place]),
+            b, part, pack_ints(docs.view(np.uint64)), pack_ints(h1[o], True), pack_ints(h2[o]),
+            pack_ints(own_doc[o]), pack_ints(own_start[o]),
+            pack_ints(doc[gone], True) if at_home else b"",
+            pack_ints(start[gone]) if at_home else b"",
         ))
-    columns = list(zip(*rows))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]],
-        ["bucket", "docs", "h1", "h2", "doc", "start", "gone_doc", "gone_start"],
+    yield binary_rows(
+        ["bucket", "part", "docs", "h1", "h2", "doc", "start", "gone_doc", "gone_start"], rows
     )
 
 
-def later_places(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Places of a range of windows that are not the first of their words."""
-    columns = {n: table[n].to_pylist() for n in table.column_names if n != "bucket"}
-    ids = [np.frombuffer(x, np.int64) for x in columns["docs"]]
+def later_places(table: pa.Table) -> pa.Table:
+    """Of a range of windows the places that are not the first, by group of documents."""
+    columns = {n: table[n].to_pylist() for n in table.column_names}
     h1 = np.concatenate([unpack_ints(x, True) for x in columns["h1"]])
     h2 = np.concatenate([unpack_ints(x) for x in columns["h2"]])
-    doc = np.concatenate([i[unpack_ints(x).astype(np.int64)] for i, x in zip(ids, columns["doc"])])
+    doc = [unpack_ints(x).astype(np.int64) for x in columns["doc"]]
+    docs = np.concatenate([
+        unpack_ints(ids).view(np.int64)[own] for ids, own in zip(columns["docs"], doc)
+    ])
     start = np.concatenate([unpack_ints(x) for x in columns["start"]]).astype(np.int64)
-    order = np.lexsort((start, doc, h2, h1))
-    h1, h2, doc, start = h1[order], h2[order], doc[order], start[order]
-    new = np.ones(len(h1), bool)
-    new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
-    lead = np.flatnonzero(new)[np.cumsum(new) - 1]
-    later = (doc != doc[lead]) | (start != start[lead])
-    gone = [i[unpack_ints(x, True).astype(np.int64)] for i, x in zip(ids, columns["gone_doc"])]
-    at = [unpack_ints(x).astype(np.int64) for x in columns["gone_start"]]
-    return np.concatenate([doc[later], *gone]), np.concatenate([start[later], *at])
+    order, _, later = first_of_each(h1, h2, docs, start)
+    is_later = np.zeros(len(order), bool)
+    is_later[order[later]] = True
+    ends = np.cumsum([len(d) for d in doc])
+    found_doc, found_start = [], []
+    for end, own, gone, at in zip(ends, doc, columns["gone_doc"], columns["gone_start"]):
+        span = slice(end - len(own), end)
+        hit = is_later[span]
+        found_doc.append(pack_ints(
+            np.concatenate([own[hit], unpack_ints(gone, True).astype(np.int64)])))
+        found_start.append(pack_ints(
+            np.concatenate([start[span][hit], unpack_ints(at).astype(np.int64)])))
+    return pa.table(
+        [table["part"], table["docs"], pa.array(found_doc, pa.binary()),
+         pa.array(found_start, pa.binary())], names=["part", "docs", "doc", "starts"],
+    )
