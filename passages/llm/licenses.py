@@ -104,8 +104,7 @@ def parse_expression(text: str) -> tuple[list[str], bool]:
             break
         at = match.end()
     while wants_value and pending:
-        pending.pop()
-        wants_value = bool(pending) and pending[-1] == "("
+        wants_value = pending.pop() == "("
     while pending:
         reduce(0)
         if pending:
