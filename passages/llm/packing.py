@@ -28,7 +28,7 @@ TIERS = (512, 1024, 2048, 4096)
 END_ID = 2
 GROUP_TOKENS = 1 << 20
 STEP_TOKENS = 32 * 4096
-REMEMBERED = 300_000
+REMEMBERED = 1_500_000
 SCHEMA = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
     "sequence_id bigint, offset bigint, tier int, step_id bigint"
@@ -41,7 +41,9 @@ class Encoder:
     """Ids of texts, as little-endian 32-bit bytes.
 
     Words between blanks and line ends are encoded by themselves and remembered: the
-    tokenizer drops white space, so a text's ids are its words' ids in order.
+    tokenizer drops white space, so a text's ids are its words' ids in order. It also
+    lower-cases, and a stop or comma behind a letter is a token of its own, so a word that
+    differs from one known in no more than that is put together from it.
     """
 
     def __init__(self, path: str):
@@ -50,17 +52,33 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {"": b""}
+        self.end = np.array([END_ID], "<u4").tobytes()
+
+    def _encode(self, words: list[str]) -> None:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        for word, encoding in zip(words, found):
+            self.known[word] = np.array(encoding.ids, "<u4").tobytes()
+
+    def _learn(self, words: set[str]) -> None:
+        known, plain = self.known, {}
+        for word in words:
+            body, tail = (word[:-1], word[-1]) if word[-1] in ".," and word[-2:-1].isalpha() else (word, "")
+            plain[word] = (body.lower() if body.isascii() and body.isalpha() else body), tail
+        fresh = {part for parts in plain.values() for part in parts}.difference(known)
+        self._encode(list(fresh))
+        for word, (body, tail) in plain.items():
+            known[word] = known[body] + known[tail]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         words = [t.replace("\n", " ").split(" ") for t in texts]
-        fresh = list({w for ws in words for w in ws}.difference(self.known))
+        every = set().union(*words)
+        fresh = every.difference(self.known)
         if len(self.known) + len(fresh) > REMEMBERED:
             self.known = {"": b""}
-            fresh = list({w for ws in words for w in ws if w})
-        for word, found in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False)):
-            self.known[word] = np.array(found.ids, "<u4").tobytes()
-        end = np.array([END_ID], "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, ws)) + end for ws in words]
+            fresh = every - {""}
+        if fresh:
+            self._learn(fresh)
+        return [b"".join(map(self.known.__getitem__, ws)) + self.end for ws in words]
 
 
 @lru_cache(2)
