@@ -81,6 +81,14 @@ def make_points(
     )
 
 
-def upsert_points(old: DataFrame, new: DataFrame) -> DataFrame:
-    """``old`` with the rows of ``new`` inserted or, where the id exists, replaced."""
-    return old.join(new.select("id"), "id", "left_anti").unionByName(new)
+def upsert_points(old: DataFrame, new: DataFrame, order: Column | None = None) -> DataFrame:
+    """``old`` with the rows of ``new`` inserted or, where the id exists, replaced.
+
+    Of rows of ``new`` that repeat an id the one with the largest ``order`` stays, or
+    without an order the one whose JSON form is largest.
+    """
+    row = F.struct(*[F.col(c) for c in new.columns])
+    latest = new.groupBy("id").agg(
+        F.max_by(row, F.to_json(row) if order is None else order).alias("_row")
+    ).select("_row.*")
+    return old.join(latest.select("id"), "id", "left_anti").unionByName(latest)

@@ -156,7 +156,7 @@ def make_points(spark, sf):
 def append_history(spark, sf):
     path = scratch_path(spark, "history")
     turns = _turns(spark, sf)
-    for role in ("user", "assistant"):
+    for role in ("system", "user", "assistant"):
         exchange.append_history(turns.where(F.col("role") == role), path)
     schema = "conv_id bigint, turn bigint, role string, text string"
     return exchange.read_history(spark, path, schema)
@@ -600,7 +600,8 @@ def assemble_text_stream(spark, sf):
 @query
 def ingest_stream(spark, sf):
     schema = _table(spark, sf, "documents").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf)
+    # A pattern, so that a table of one file and a folder of files are both found.
+    stream = spark.readStream.schema(schema).parquet(f"{sf}/documents.parque[t]")
     target = scratch_path(spark, "points")
     ingest.ingest_stream(stream, target, scratch_path(spark, "progress")).awaitTermination()
     stored = ingest.latest_points(spark, target)

@@ -191,7 +191,7 @@ SELECT vec_id AS id, 'old' AS state FROM embeddings WHERE vec_id NOT IN (SELECT
 UNION ALL SELECT id, 'new' AS state FROM again""",
     "make_points": POINTS,
     "append_history": """
-SELECT conv_id, turn, role, text FROM conversations WHERE role IN ('user', 'assistant')""",
+SELECT conv_id, turn, role, text FROM conversations WHERE role IN ('system', 'user', 'assistant')""",
     "write_requests": _with(QUESTIONS)
     + f"SELECT {_request([_message('user', 'text')])} AS body FROM questions",
     "read_responses": "SELECT text AS content FROM conversations WHERE role = 'assistant'",

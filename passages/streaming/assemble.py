@@ -22,7 +22,7 @@ def assemble_text_stream(pieces: DataFrame, timeout_ms: int | None = None) -> Da
     Equals ``assemble_text`` of the same pieces whatever the micro-batches are.
     Positions count from 0; a piece that arrives early waits in the state, one that
     was seen before is dropped. The row with ``is_last`` releases the rest and ends
-    the sequence; with ``timeout_ms`` so does that time without input. The state of an
+    the sequence; with ``timeout_ms`` so does that time without input, pieces that wait included. The state of an
     ended sequence is removed.
     """
     flagged = pieces.select(
@@ -38,7 +38,14 @@ def assemble_text_stream(pieces: DataFrame, timeout_ms: int | None = None) -> Da
         out: list[str] = []
         finished = False
         if state.hasTimedOut:
-            out, held, finished = ([held] if held else []), "", True
+            # What waits behind a gap is released in order, as if the gap were empty.
+            for pos in sorted(early, key=int):
+                piece, ends, _ = early[pos]
+                held += piece
+                if held and ends:
+                    out.append(held)
+                    held = ""
+            out, finished = out + ([held] if held else []), True
         else:
             for frame in frames:
                 for row in zip(frame["pos"], frame["piece"], frame["ends"], frame["is_last"]):

@@ -192,3 +192,29 @@ def test_default_embedder(spark):
     rows = {r.query_id: r.embedding for r in embedding.embed_queries(df, dim=16).collect()}
     assert rows[1] == rows[2] and len(rows[1]) == 16 and any(rows[1])
     assert rows[3] == rows[4] == [0.0] * 16
+
+
+def test_null_vectors_take_no_part_on_either_route(spark):
+    from passages.operators.search import topk_cosine
+
+    vector = "array<float>"
+    points = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, []), (4, [0.0, 0.0])],
+                                   f"id bigint, embedding {vector}")
+    queries = spark.createDataFrame([(7, [1.0, 1.0]), (8, None)],
+                                    f"query_id bigint, embedding {vector}")
+    for limit in (1 << 20, 0):
+        hits = topk_cosine(queries, points, 2, dim=2, broadcast_bytes=limit).collect()
+        assert [(h.query_id, h.id, h.rank) for h in hits] == [(7, 1, 1)]
+
+
+def test_upsert_keeps_one_row_of_a_repeated_id(spark):
+    from pyspark.sql import functions as F
+
+    from passages.operators.points import upsert_points
+
+    kind = "id bigint, v int"
+    old = spark.createDataFrame([(1, 1), (2, 2)], kind)
+    new = spark.createDataFrame([(2, 5), (2, 10), (3, 3)], kind)
+    stored = {(r.id, r.v) for r in upsert_points(old, new, F.col("v")).collect()}
+    assert stored == {(1, 1), (2, 10), (3, 3)}
+    assert upsert_points(old, new).count() == 3
