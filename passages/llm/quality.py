@@ -12,12 +12,13 @@ from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from passages.llm.common import map_texts
-from passages.llm.hashing import WordHasher, _bytes_of
+from passages.llm.hashing import WordHasher, _bytes_of, blocks
 
 FEATURES = (
     "log_words", "word_bytes", "upper_share", "digit_share", "symbol_share", "bar_share",
@@ -280,12 +281,8 @@ def score_quality(documents: DataFrame, model: AdditiveModel) -> DataFrame:
 
 def keep_good(documents: DataFrame, model: AdditiveModel) -> DataFrame:
     """The rows of ``documents`` that the model does not reject, with all their columns."""
-    import pandas as pd
-
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        from passages.llm.hashing import blocks
-
         hasher = WordHasher(1, fold_case=False)
         column = pa.array(texts.fillna(""), pa.string())
         parts = [model.score(features_of(column.slice(b, e - b), hasher))
