@@ -42,8 +42,8 @@ RARE = 16
 # Sets below this size index frequent shingles one by one too.
 SMALL_SET = 64
 SHIPPED_ROWS = 250_000
-PIVOT_GROWTH = 8
-MOST_PAIRS_PER_ENTRY = 64
+PIVOT_GROWTH = 64
+MOST_PAIRS_PER_ENTRY = 256
 
 
 def shingle_sets(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -299,7 +299,7 @@ def set_components(sets: DataFrame) -> DataFrame:
 
     First the smallest id of each index entry is its pivot. What entries then still hold
     in different components is compared whole if those pairs are few for the number of
-    entries, and else pivot by pivot, eight times as many in each round, with components
+    entries, and else pivot by pivot, many times more in each round, with components
     merged in between.
     """
     entries = store(index_entries(sets), "entries")
