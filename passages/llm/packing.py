@@ -42,8 +42,9 @@ class Encoder:
 
     Words between blanks and line ends are encoded by themselves and remembered: the
     tokenizer drops white space, so a text's ids are its words' ids in order. It also
-    lower-cases, and a stop or comma behind a letter is a token of its own, so a word that
-    differs from one known in no more than that is put together from it.
+    lower-cases, and a stop or comma behind a Latin letter is a token of its own, so a word
+    that differs from one known in no more than that is put together from it. Other letters
+    may end in a mark once normalised, which a stop would join.
     """
 
     def __init__(self, path: str):
@@ -62,7 +63,8 @@ class Encoder:
     def _learn(self, words: set[str]) -> None:
         known, plain = self.known, {}
         for word in words:
-            body, tail = (word[:-1], word[-1]) if word[-1] in ".," and word[-2:-1].isalpha() else (word, "")
+            stop = word[-1] in ".," and word[-2:-1].isalpha() and word[-2] <= "\xff"
+            body, tail = (word[:-1], word[-1]) if stop else (word, "")
             plain[word] = (body.lower() if body.isascii() and body.isalpha() else body), tail
         fresh = {part for parts in plain.values() for part in parts}.difference(known)
         self._encode(list(fresh))

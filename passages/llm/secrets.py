@@ -118,7 +118,8 @@ def guess_cost(value: str) -> float:
                 reach(at + run, BRUTE + math.log10(run))
         for unit in (2, 3, 4):  # ababab: one unit, repeated
             part = plain[at:at + unit]
-            if plain.startswith(part, at + unit) and not plain.startswith(part, at - unit):
+            begun = at >= unit and plain.startswith(part, at - unit)
+            if plain.startswith(part, at + unit) and not begun:
                 end = at + 2 * unit
                 while plain.startswith(part, end):
                     end += unit
