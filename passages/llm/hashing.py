@@ -9,12 +9,14 @@ every worker and every retry gives the same values.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 
 # A block of texts is hashed at once; the arrays take about 50 bytes for each byte of text.
 BLOCK_BYTES = 1 << 20
+BATCH_ROWS = 10_000
 SPACES = b" \t\n\x0b\x0c\r"
 WORD_BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -191,11 +193,24 @@ def unpack_ints(data: bytes, rising: bool = False) -> np.ndarray:
     return np.cumsum(values, dtype=np.uint64) if rising else values
 
 
-def cut_points(values: np.ndarray, bits: int, buckets: int) -> np.ndarray:
-    """Where sorted values below ``2**bits`` pass from one of equal ranges to the next."""
-    edges = [(b << bits) // buckets for b in range(1, buckets)]
-    inner = np.searchsorted(values, np.array(edges, np.uint64))
-    return np.concatenate([[0], inner, [len(values)]])
+def by_ranges(
+    bits: int, ranges: int, home: int, *columns: np.ndarray
+) -> Iterator[tuple[int, list[slice]]]:
+    """Where sorted values below ``2**bits`` lie in each of equal ranges, a power of two.
+
+    Only ranges that hold a value, and ``home``, are given: work and rows follow the
+    values, however many ranges there are.
+    """
+    shift = bits - (ranges.bit_length() - 1)
+    tops = [v >> np.uint64(shift) if shift < 64 else np.zeros_like(v) for v in columns]
+    held = [top[np.r_[True, top[1:] != top[:-1]]] for top in tops if len(top)]
+    present = np.unique(np.concatenate([np.array([home], np.uint64), *held]))
+    edges = [
+        (np.searchsorted(top, present).tolist(), np.searchsorted(top, present, "right").tolist())
+        for top in tops
+    ]
+    for at, number in enumerate(present.tolist()):
+        yield number, [slice(low[at], high[at]) for low, high in edges]
 
 
 def lists_of(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
@@ -218,13 +233,14 @@ def shared_values(runs_of_values: list[np.ndarray]) -> np.ndarray:
     return again[np.r_[True, again[1:] != again[:-1]]] if len(again) else again
 
 
-def binary_rows(names: list[str], rows: list[tuple]) -> pa.RecordBatch:
-    """Rows ``(bucket, part, binary, ...)`` as a batch."""
-    columns = list(zip(*rows))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()),
-         *[pa.array(c, pa.binary()) for c in columns[2:]]], names,
-    )
+def binary_rows(names: list[str], rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows ``(bucket, part, binary, ...)`` as batches of bounded length."""
+    while some := list(islice(rows, BATCH_ROWS)):
+        columns = list(zip(*some))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()),
+             *[pa.array(c, pa.binary()) for c in columns[2:]]], names,
+        )
 
 
 def lists_by_document(table: pa.Table, value: str) -> pa.Table:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from passages.llm.common import small, store
 from passages.llm.components import components, follow
 from passages.llm.hashing import (
-    Words, WordHasher, among, binary_rows, cut_points, mix, pack_ints, run_starts, runs,
+    Words, WordHasher, among, binary_rows, by_ranges, mix, pack_ints, run_starts, runs,
     shared_values, unpack_ints, word_groups,
 )
 from passages.llm.repeats import numbered, ranges_for
@@ -123,17 +123,13 @@ def shared_counts(texts: DataFrame, buckets: int, bits: int) -> DataFrame:
             single = times == 1
             here = np.bincount(doc[np.repeat(~single, times)], minlength=len(ids))
             once, once_doc, more = values[single], doc[first[single]], values[~single]
-            own, others = cut_points(once, bits, buckets), cut_points(more, bits, buckets)
             home = part % buckets
-            rows = []
-            for b in range(buckets):
-                o, m = slice(own[b], own[b + 1]), slice(others[b], others[b + 1])
-                rows.append((
-                    b, part, pack_ints(ids.view(np.uint64)) if b == home else b"",
-                    pack_ints(here) if b == home else b"",
-                    pack_ints(once[o], True), pack_ints(once_doc[o]), pack_ints(more[m], True),
-                ))
-            yield binary_rows(names, rows)
+            yield from binary_rows(names, (
+                (b, part, pack_ints(ids.view(np.uint64)) if b == home else b"",
+                 pack_ints(here) if b == home else b"",
+                 pack_ints(once[o], True), pack_ints(once_doc[o]), pack_ints(more[m], True))
+                for b, (o, m) in by_ranges(bits, buckets, home, once, more)
+            ))
 
     def answer(table: pa.Table) -> pa.Table:
         once = [unpack_ints(x, True) for x in table["once"].to_pylist()]

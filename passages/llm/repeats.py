@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from passages.llm.common import map_texts
 from passages.llm.hashing import (
-    Words, WordHasher, among, binary_rows, cut_points, lists_by_document, pack_ints, run_starts,
+    Words, WordHasher, among, binary_rows, by_ranges, lists_by_document, pack_ints, run_starts,
     runs, shared_values, unpack_ints, word_groups,
 )
 
@@ -37,9 +37,9 @@ LOW = np.uint64(0xFFFFFFFF)
 
 
 def ranges_for(documents: DataFrame) -> tuple[int, int]:
-    """Ranges of fingerprints and bits of one, from the bytes of all texts."""
+    """Ranges of fingerprints, a power of two, and bits of one, from the bytes of all texts."""
     size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 1
-    return -(-size // RANGE_BYTES), min(max(int(size).bit_length() + 6, 24), 64)
+    return 1 << (-(-size // RANGE_BYTES) - 1).bit_length(), min(max(int(size).bit_length() + 6, 24), 64)
 
 
 def drop_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -103,8 +103,8 @@ def repeated_positions(texts: DataFrame, window: int = WINDOW) -> DataFrame:
 
     shipped = candidates.mapInArrow(
         windows,
-        "bucket int, part bigint, docs binary, h1 binary, h2 binary, doc binary, start binary, "
-        "gone_doc binary, gone_start binary",
+        "bucket int, part bigint, docs binary, h1 binary, h2 binary, id binary, doc binary, "
+        "start binary, gone_doc binary, gone_start binary",
     )
     later = shipped.groupBy("bucket").applyInArrow(
         later_places, "part bigint, docs binary, doc binary, starts binary"
@@ -148,15 +148,13 @@ def matched_blocks(texts: DataFrame, block: int, buckets: int, bits: int) -> Dat
             doc, number, own = doc[anchored], offset[anchored] // block, prints[at[anchored]]
             order = np.argsort(own, kind="stable")
             doc, number, own = doc[order], number[order], own[order]
-            cuts = [cut_points(x, bits, buckets) for x in (probes, again, own)]
-            home, packed = part % buckets, pack_ints(docs.view(np.uint64))
-            rows = []
-            for b in range(buckets):
-                p, a, o = (slice(c[b], c[b + 1]) for c in cuts)
-                rows.append((b, part, packed if b == home else b"", pack_ints(probes[p], True),
-                             pack_ints(again[a], True), pack_ints(own[o], True),
-                             pack_ints(doc[o]), pack_ints(number[o])))
-            yield binary_rows(names, rows)
+            home = part % buckets
+            yield from binary_rows(names, (
+                (b, part, pack_ints(docs.view(np.uint64)) if b == home else b"",
+                 pack_ints(probes[p], True), pack_ints(again[a], True), pack_ints(own[o], True),
+                 pack_ints(doc[o]), pack_ints(number[o]))
+                for b, (p, a, o) in by_ranges(bits, buckets, home, probes, again, own)
+            ))
 
     def probe(table: pa.Table) -> pa.Table:
         seen = table["probes"].to_pylist() + table["again"].to_pylist()
@@ -228,21 +226,14 @@ def window_rows(
     gone = np.sort(order[later])
     order = order[new]
     h1, h2, own_doc, own_start = h1[order], h2[order], doc[order], start[order]
-    cuts, home = cut_points(h1, 64, buckets), part % buckets
-    rows = []
-    for b in range(buckets):
-        o = slice(cuts[b], cuts[b + 1])
-        at_home = b == home
-        if o.start == o.stop and not at_home:
-            continue
-        rows.append((
-            b, part, pack_ints(docs.view(np.uint64)), pack_ints(h1[o], True), pack_ints(h2[o]),
-            pack_ints(own_doc[o]), pack_ints(own_start[o]),
-            pack_ints(doc[gone], True) if at_home else b"",
-            pack_ints(start[gone]) if at_home else b"",
-        ))
-    yield binary_rows(
-        ["bucket", "part", "docs", "h1", "h2", "doc", "start", "gone_doc", "gone_start"], rows
+    ids, home = docs.view(np.uint64), part % buckets
+    yield from binary_rows(
+        ["bucket", "part", "docs", "h1", "h2", "id", "doc", "start", "gone_doc", "gone_start"],
+        ((b, part, pack_ints(ids) if b == home else b"", pack_ints(h1[o], True),
+          pack_ints(h2[o]), pack_ints(ids[own_doc[o]]), pack_ints(own_doc[o]),
+          pack_ints(own_start[o]), pack_ints(doc[gone], True) if b == home else b"",
+          pack_ints(start[gone]) if b == home else b"")
+         for b, (o,) in by_ranges(64, buckets, home, h1)),
     )
 
 
@@ -252,9 +243,7 @@ def later_places(table: pa.Table) -> pa.Table:
     h1 = np.concatenate([unpack_ints(x, True) for x in columns["h1"]])
     h2 = np.concatenate([unpack_ints(x) for x in columns["h2"]])
     doc = [unpack_ints(x).astype(np.int64) for x in columns["doc"]]
-    docs = np.concatenate([
-        unpack_ints(ids).view(np.int64)[own] for ids, own in zip(columns["docs"], doc)
-    ])
+    docs = np.concatenate([unpack_ints(x) for x in columns["id"]]).view(np.int64)
     start = np.concatenate([unpack_ints(x) for x in columns["start"]]).astype(np.int64)
     order, _, later = first_of_each(h1, h2, docs, start)
     is_later = np.zeros(len(order), bool)
