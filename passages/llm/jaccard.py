@@ -15,6 +15,7 @@ equal are one class from the start. Then:
    are verified exactly and linked sets merged into components. More pivots follow, but
    only where an entry still holds several components: sets already connected are never
    compared, so a group of near copies of any size costs a few comparisons for each set.
+   Sizes, rooms and parities (bounds that lose no link) keep most pairs from being made.
 """
 
 from __future__ import annotations
@@ -44,6 +45,9 @@ SMALL_SET = 64
 SHIPPED_ROWS = 250_000
 PIVOT_GROWTH = 64
 MOST_PAIRS_PER_ENTRY = 256
+# A set's parities: which of 256 classes of shingles it has an odd number of.
+PARITIES = ("b0", "b1", "b2", "b3")
+PARITY_BITS = 64 * len(PARITIES)
 
 
 def shingle_sets(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -241,8 +245,15 @@ def signatures_of(
     return signatures[new], rooms[new]
 
 
+def parities_of(shingles: np.ndarray) -> np.ndarray:
+    """Parities of a set. Two sets differ in at least as many shingles as in parities."""
+    times = np.bincount((mix(shingles) % np.uint64(PARITY_BITS)).astype(np.int64),
+                        minlength=PARITY_BITS)
+    return np.packbits((times & 1).astype(np.uint8)).view(np.int64)
+
+
 def index_entries(sets: DataFrame) -> DataFrame:
-    """``(sig, doc_id, n, room)``: the index entries of all sets."""
+    """``(sig, doc_id, n, room, b0, ...)``: the index entries of all sets, with parities."""
     tokens = sets.select("doc_id", "n", F.explode("shingles").alias("h"))
     counted = tokens.withColumn("times", F.count("*").over(Window.partitionBy("h")))
     ordered = (
@@ -260,14 +271,19 @@ def index_entries(sets: DataFrame) -> DataFrame:
                 for n, h, t in zip(sizes, batch.column(2), batch.column(3))
             ]
             counts = [len(own) for own, _ in found]
+            parities = np.repeat(
+                np.array([parities_of(h.values.to_numpy().view(np.uint64)) for h in batch.column(2)],
+                         np.int64).reshape(-1, len(PARITIES)), counts, axis=0)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([own.view(np.int64) for own, _ in found])),
                  pa.array(np.repeat(ids, counts)), pa.array(np.repeat(sizes, counts)),
-                 pa.array(np.concatenate([room for _, room in found]), pa.int64())],
-                ["sig", "doc_id", "n", "room"],
+                 pa.array(np.concatenate([room for _, room in found]), pa.int64()),
+                 *[pa.array(column) for column in parities.T]],
+                ["sig", "doc_id", "n", "room", *PARITIES],
             )
 
-    return ordered.mapInArrow(run, "sig bigint, doc_id bigint, n bigint, room bigint")
+    schema = ", ".join(f"{c} bigint" for c in ("sig", "doc_id", "n", "room", *PARITIES))
+    return ordered.mapInArrow(run, schema)
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -282,11 +298,18 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def may_link(n: str, room: str, other_n: str, other_room: str) -> Column:
-    """Whether sizes and rooms allow the overlap that a link of the two sets needs."""
-    need = (F.col(n) + F.col(other_n)) * PERCENT
-    return (F.least(n, other_n) * 100 >= F.greatest(n, other_n) * PERCENT) & (
-        F.least(room, other_room) * (100 + PERCENT) >= need
+def may_link(other: str) -> Column:
+    """Whether a link of a set and the one with prefix ``other`` is possible at all.
+
+    Sizes and rooms must allow the overlap that it needs, and linked sets differ in at most
+    a seventh of their sizes' sum, so in no more parities. The bounds lose no link.
+    """
+    n, room, other_n, other_room = (F.col(c) for c in ("n", "room", f"{other}n", f"{other}room"))
+    unequal = sum(F.bit_count(F.col(b).bitwiseXOR(F.col(other + b))) for b in PARITIES)
+    return (
+        (F.least(n, other_n) * 100 >= F.greatest(n, other_n) * PERCENT)
+        & (F.least(room, other_room) * (100 + PERCENT) >= (n + other_n) * PERCENT)
+        & (unequal * (100 + PERCENT) <= (n + other_n) * (100 - PERCENT))
     )
 
 
@@ -306,7 +329,7 @@ def set_components(sets: DataFrame) -> DataFrame:
         state = entries.groupBy("sig").agg(
             F.min("component").alias("lo"), F.max("component").alias("hi"),
             F.count("*").alias("members"),
-            F.min(F.struct("doc_id", "n", "room", "component")).alias("p"),
+            F.min(F.struct("doc_id", "n", "room", *PARITIES)).alias("p"),
         ).where(F.col("lo") < F.col("hi")).where(F.col("members") > done)
         held = entries.join(state.select("sig", "members", "p"), "sig")
         if done:
@@ -318,7 +341,7 @@ def set_components(sets: DataFrame) -> DataFrame:
             whole = size.pairs <= MOST_PAIRS_PER_ENTRY * size.rows
         if not done:
             # A pivot is compared with all others of its entry; the rest waits.
-            pairs = held.where("doc_id > p.doc_id").where(may_link("n", "room", "p.n", "p.room")).select(
+            pairs = held.where("doc_id > p.doc_id").where(may_link("p.")).select(
                 F.col("p.doc_id").alias("a"), F.col("doc_id").alias("b"))
         else:
             first = held
@@ -326,11 +349,13 @@ def set_components(sets: DataFrame) -> DataFrame:
                 order = Window.partitionBy("sig").orderBy("doc_id")
                 first = held.withColumn("place", F.row_number().over(order)).where(
                     F.col("place") <= pivots)
-            first = first.select("sig", F.col("doc_id").alias("a"), F.col("n").alias("na"),
-                                 F.col("room").alias("ra"), F.col("component").alias("ca"))
+            first = first.select(
+                "sig", F.col("doc_id").alias("a"), F.col("component").alias("ca"),
+                *[F.col(c).alias(f"p_{c}") for c in ("n", "room", *PARITIES)],
+            )
             pairs = (
                 held.join(first, "sig").where("doc_id > a AND component <> ca")
-                .where(may_link("n", "room", "na", "ra")).select("a", F.col("doc_id").alias("b"))
+                .where(may_link("p_")).select("a", F.col("doc_id").alias("b"))
             )
         found = linked(store(pairs.distinct(), "pairs"), sets)
         edges = store(found if edges is None else edges.union(found), "links")
@@ -338,8 +363,8 @@ def set_components(sets: DataFrame) -> DataFrame:
         if done and whole:
             return labels
         entries = follow(
-            held.select("sig", "doc_id", "n", "room", F.col("doc_id").alias("component")), "component",
-            small(labels, SHIPPED_ROWS),
+            held.select("sig", "doc_id", "n", "room", *PARITIES, F.col("doc_id").alias("component")),
+            "component", small(labels, SHIPPED_ROWS),
         )
         done, pivots = pivots, pivots * PIVOT_GROWTH
 

@@ -13,7 +13,7 @@ from passages.llm import secrets, wordpiece
 from passages.llm.components import components
 from passages.llm.covertree import top_scores
 from passages.llm.decontaminate import contained_items, drop_contaminated
-from passages.llm.jaccard import signatures_of, similar_sets
+from passages.llm.jaccard import parities_of, signatures_of, similar_sets
 from passages.llm.licenses import license_scan, parse_expression
 from passages.llm.packing import by_powers_of_two, pack, pack_documents
 from passages.llm.quality import fit, score_quality, train_quality
@@ -247,6 +247,15 @@ def test_similar_sets_equal_brute_force(documents, nothing):
     assert similar_sets(nothing).count() == 0
 
 
+def test_parities_never_exceed_the_difference():
+    rng = np.random.default_rng(3)
+    pool = rng.integers(0, 2**63, 900, dtype=np.uint64)
+    for size in (0, 1, 20, 300, 600):
+        a, b = (rng.choice(pool, size, replace=False) for _ in "ab")
+        unequal = np.bitwise_count(parities_of(a) ^ parities_of(b)).sum()
+        assert unequal <= len(set(a.tolist()) ^ set(b.tolist()))
+
+
 def test_linked_sets_share_an_entry_with_room():
     rng = np.random.default_rng(8)
     for n in (1, 2, 5, 63, 64, 70, 200, 900):
