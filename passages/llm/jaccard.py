@@ -48,6 +48,8 @@ MOST_PAIRS_PER_ENTRY = 256
 # A set's parities: which of 256 classes of shingles it has an odd number of.
 PARITIES = ("b0", "b1", "b2", "b3")
 PARITY_BITS = 64 * len(PARITIES)
+# What an index entry tells of its set, for the bounds on a pair.
+TRAITS = ("n", "room", "alone", *PARITIES)
 
 
 def shingle_sets(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -246,14 +248,18 @@ def signatures_of(
 
 
 def parities_of(shingles: np.ndarray) -> np.ndarray:
-    """Parities of a set. Two sets differ in at least as many shingles as in parities."""
+    """Parities of shingles. Two lists of them differ in at least as many as in parities."""
     times = np.bincount((mix(shingles) % np.uint64(PARITY_BITS)).astype(np.int64),
                         minlength=PARITY_BITS)
     return np.packbits((times & 1).astype(np.uint8)).view(np.int64)
 
 
 def index_entries(sets: DataFrame) -> DataFrame:
-    """``(sig, doc_id, n, room, b0, ...)``: the index entries of all sets, with parities."""
+    """``(sig, doc_id, n, room, alone, b0, ...)``: the index entries of all sets.
+
+    ``alone`` counts the set's shingles that no other set has; the parities are those of
+    the other shingles.
+    """
     tokens = sets.select("doc_id", "n", F.explode("shingles").alias("h"))
     counted = tokens.withColumn("times", F.count("*").over(Window.partitionBy("h")))
     ordered = (
@@ -271,6 +277,7 @@ def index_entries(sets: DataFrame) -> DataFrame:
                 for n, h, t in zip(sizes, batch.column(2), batch.column(3))
             ]
             counts = [len(own) for own, _ in found]
+            alone = sizes - np.array([len(h) for h in batch.column(2)], np.int64)
             parities = np.repeat(
                 np.array([parities_of(h.values.to_numpy().view(np.uint64)) for h in batch.column(2)],
                          np.int64).reshape(-1, len(PARITIES)), counts, axis=0)
@@ -278,11 +285,12 @@ def index_entries(sets: DataFrame) -> DataFrame:
                 [pa.array(np.concatenate([own.view(np.int64) for own, _ in found])),
                  pa.array(np.repeat(ids, counts)), pa.array(np.repeat(sizes, counts)),
                  pa.array(np.concatenate([room for _, room in found]), pa.int64()),
+                 pa.array(np.repeat(alone, counts)),
                  *[pa.array(column) for column in parities.T]],
-                ["sig", "doc_id", "n", "room", *PARITIES],
+                ["sig", "doc_id", *TRAITS],
             )
 
-    schema = ", ".join(f"{c} bigint" for c in ("sig", "doc_id", "n", "room", *PARITIES))
+    schema = ", ".join(f"{c} bigint" for c in ("sig", "doc_id", *TRAITS))
     return ordered.mapInArrow(run, schema)
 
 
@@ -302,14 +310,16 @@ def may_link(other: str) -> Column:
     """Whether a link of a set and the one with prefix ``other`` is possible at all.
 
     Sizes and rooms must allow the overlap that it needs, and linked sets differ in at most
-    a seventh of their sizes' sum, so in no more parities. The bounds lose no link.
+    a seventh of their sizes' sum. Shingles that only one set of all has are among those
+    that differ, and the unequal parities count others. The bounds lose no link.
     """
     n, room, other_n, other_room = (F.col(c) for c in ("n", "room", f"{other}n", f"{other}room"))
     unequal = sum(F.bit_count(F.col(b).bitwiseXOR(F.col(other + b))) for b in PARITIES)
+    differ = unequal + F.col("alone") + F.col(f"{other}alone")
     return (
         (F.least(n, other_n) * 100 >= F.greatest(n, other_n) * PERCENT)
         & (F.least(room, other_room) * (100 + PERCENT) >= (n + other_n) * PERCENT)
-        & (unequal * (100 + PERCENT) <= (n + other_n) * (100 - PERCENT))
+        & (differ * (100 + PERCENT) <= (n + other_n) * (100 - PERCENT))
     )
 
 
@@ -329,7 +339,7 @@ def set_components(sets: DataFrame) -> DataFrame:
         state = entries.groupBy("sig").agg(
             F.min("component").alias("lo"), F.max("component").alias("hi"),
             F.count("*").alias("members"),
-            F.min(F.struct("doc_id", "n", "room", *PARITIES)).alias("p"),
+            F.min(F.struct("doc_id", *TRAITS)).alias("p"),
         ).where(F.col("lo") < F.col("hi")).where(F.col("members") > done)
         held = entries.join(state.select("sig", "members", "p"), "sig")
         if done:
@@ -351,7 +361,7 @@ def set_components(sets: DataFrame) -> DataFrame:
                     F.col("place") <= pivots)
             first = first.select(
                 "sig", F.col("doc_id").alias("a"), F.col("component").alias("ca"),
-                *[F.col(c).alias(f"p_{c}") for c in ("n", "room", *PARITIES)],
+                *[F.col(c).alias(f"p_{c}") for c in TRAITS],
             )
             pairs = (
                 held.join(first, "sig").where("doc_id > a AND component <> ca")
@@ -363,7 +373,7 @@ def set_components(sets: DataFrame) -> DataFrame:
         if done and whole:
             return labels
         entries = follow(
-            held.select("sig", "doc_id", "n", "room", *PARITIES, F.col("doc_id").alias("component")),
+            held.select("sig", "doc_id", *TRAITS, F.col("doc_id").alias("component")),
             "component", small(labels, SHIPPED_ROWS),
         )
         done, pivots = pivots, pivots * PIVOT_GROWTH
