@@ -13,7 +13,9 @@ from passages.llm import secrets, wordpiece
 from passages.llm.components import components
 from passages.llm.covertree import top_scores
 from passages.llm.decontaminate import contained_items, drop_contaminated
-from passages.llm.jaccard import parities_of, signatures_of, similar_sets
+from passages.llm.jaccard import (
+    TRAITS, index_entries, may_link, parities_of, signatures_of, similar_sets,
+)
 from passages.llm.licenses import license_scan, parse_expression
 from passages.llm.packing import by_powers_of_two, pack, pack_documents
 from passages.llm.quality import fit, score_quality, train_quality
@@ -256,6 +258,29 @@ def test_parities_never_exceed_the_difference():
         assert unequal <= len(set(a.tolist()) ^ set(b.tolist()))
 
 
+def test_entries_of_linked_sets_pass_the_bounds(spark):
+    rng = np.random.default_rng(11)
+    base, fresh = rng.integers(0, 2**62, 140), iter(rng.integers(0, 2**62, 4000))
+    sets = {}
+    for i in range(24):
+        gone = rng.random(len(base)) < rng.choice([0.05, 0.09, 0.14])
+        sets[i] = {int(next(fresh)) if g else int(x) for x, g in zip(base, gone)}
+    rows = [(i, len(s), sorted(s)) for i, s in sets.items()]
+    table = spark.createDataFrame(rows, "doc_id bigint, n bigint, shingles array<bigint>")
+    entries = index_entries(table)
+    times = Counter(x for s in sets.values() for x in s)
+    for row in entries.select("doc_id", "alone").distinct().collect():
+        assert row.alone == sum(times[x] == 1 for x in sets[row.doc_id])
+    others = entries.select("sig", F.col("doc_id").alias("a"),
+                            *[F.col(c).alias(f"p_{c}") for c in TRAITS])
+    met = entries.join(others, "sig").where("doc_id > a").where(may_link("p_"))
+    found = {(r.a, r.doc_id) for r in met.select("a", "doc_id").distinct().collect()}
+    links = {(a, b) for a in sets for b in sets
+             if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert links and links <= found
+    assert len(found) < len(sets) * (len(sets) - 1) // 2
+
+
 def test_linked_sets_share_an_entry_with_room():
     rng = np.random.default_rng(8)
     for n in (1, 2, 5, 63, 64, 70, 200, 900):
