@@ -2,37 +2,56 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from passages.functions.text import display_token, words
 from passages.operators.chunking import CLS_ID, PAD_ID, SEP_ID, UNK_ID
 from passages.operators.joins import join_lookup
+from passages.session import scratch_path
 
 # Reserved rows of every vocabulary.
 SPECIAL_TOKENS = {"[PAD]": PAD_ID, "[UNK]": UNK_ID, "[CLS]": CLS_ID, "[SEP]": SEP_ID}
 FIRST_WORD_ID = 1000
-VOCAB_SIZE = 30_000
 # A vocabulary up to this many rows is shipped to the tasks.
 BROADCAST_ROWS = 500_000
 
 
-def build_vocab(df: DataFrame, text: str = "text", size: int = VOCAB_SIZE) -> DataFrame:
-    """``(token, id)``: reserved tokens and the ``size`` most frequent words.
+def build_vocab(df: DataFrame, text: str = "text", size: int | None = None) -> DataFrame:
+    """``(token, id)``: reserved tokens and all words, or the ``size`` most frequent.
 
     Equal counts rank by word. Counting combines before the shuffle, so a frequent
-    word ships one row per task; only the ``size`` rows left are numbered in one task.
+    word ships one row per task. Words are sorted by ranges and stored with their place
+    in the range; only the length of each range is combined, so no task numbers them all.
     """
+    spark = df.sparkSession
     counts = df.select(F.explode(words(text)).alias("token")).groupBy("token").count()
-    top = counts.orderBy(F.desc("count"), "token").limit(size)
-    number = F.row_number().over(Window.orderBy(F.desc("count"), "token"))
-    specials = df.sparkSession.createDataFrame(list(SPECIAL_TOKENS.items()), "token string, id int")
+    order = [F.desc("count"), F.col("token")]
+    # The high bits of this id are the task, the low 33 the row in it.
+    place = F.monotonically_increasing_id()
+    path = scratch_path(spark, "words")
+    counts.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        "token", F.shiftright(place, 33).alias("_range"), place.alias("_place")
+    ).write.parquet(path)
+    ranked = spark.read.schema("token string, _range long, _place long").parquet(path)
+    lengths = ranked.groupBy("_range").count().orderBy("_range").collect()
+    before = [0, *accumulate(r["count"] for r in lengths)]
+    starts = spark.createDataFrame(
+        [(r["_range"], start) for r, start in zip(lengths, before)], "_range long, _start long"
+    )
+    rank = F.col("_start") + F.col("_place").bitwiseAND((1 << 33) - 1) + 1
+    ranked = ranked.join(F.broadcast(starts), "_range").select("token", rank.alias("_rank"))
+    if size is not None:
+        ranked = ranked.where(F.col("_rank") <= size)
+    specials = spark.createDataFrame(list(SPECIAL_TOKENS.items()), "token string, id int")
     return specials.unionByName(
-        top.where(~F.col("token").isin(*SPECIAL_TOKENS)).select(
-            "token", (number + (FIRST_WORD_ID - 1)).cast("int").alias("id")
+        ranked.where(~F.col("token").isin(*SPECIAL_TOKENS)).select(
+            "token", (F.col("_rank") + (FIRST_WORD_ID - 1)).cast("int").alias("id")
         )
     )
 

@@ -256,6 +256,12 @@ SELECT d.doc_id, coalesce(x.text, '') AS text FROM documents d LEFT JOIN (
   SELECT p.doc_id, string_agg(p.token, ' ' ORDER BY p.pos) AS text
   FROM positions p JOIN vocab v ON v.token = p.token AND v.id >= 1000 GROUP BY p.doc_id) x
 ON x.doc_id = d.doc_id""",
+    "whole_vocab": _with(
+        _vocab("documents").replace("r <= 30000 AND ", ""), _encoded("documents", "doc_id")
+    ) + f"""
+SELECT e.doc_id, array_to_string(list_concat([101], e.ids, [102]), ' ') AS ids,
+  array_to_string({_words('d.text')}, ' ') AS text
+FROM encoded e JOIN documents d ON d.doc_id = e.doc_id""",
     "token_listing": _with(
         "marked AS (SELECT conv_id * 1048576 + turn AS seq_id,"
         " replace(text, chr(10), ' <0x0A> ▁') AS text FROM conversations)",

@@ -26,6 +26,19 @@ def test_vocab(vocab):
          ("a", 1000), ("b", 1001), ("c", 1002), ("d", 1003)])
 
 
+def test_whole_vocabulary_loses_no_word(spark):
+    # More words than 30,000, most of equal count, and one that is a reserved token.
+    texts = [" ".join(f"w{i}" for i in range(d * 7000, d * 7000 + 8000)) for d in range(5)]
+    df = spark.createDataFrame(list(enumerate([*texts, "[PAD] x x"])), "doc_id long, text string")
+    counts = Counter(w for t in [*texts, "[PAD] x x"] for w in t.split())
+    ranks = sorted(counts, key=lambda w: (-counts[w], w))
+    vocab = tokens.build_vocab(df)
+    assert {r.token: r.id for r in vocab.collect()} == {
+        **{w: 1000 + i for i, w in enumerate(ranks)}, **tokens.SPECIAL_TOKENS}
+    back = tokens.decode_corpus(tokens.encode_corpus(df, vocab), vocab)
+    assert {r.doc_id: r.text for r in back.collect()} == dict(enumerate([*texts, "x x"]))
+
+
 @pytest.mark.parametrize("rows", [tokens.BROADCAST_ROWS, 2])
 def test_encode_and_decode(docs, vocab, rows):
     coded = tokens.encode_corpus(docs, vocab, broadcast_rows=rows)
