@@ -101,7 +101,7 @@ def repeated_positions(texts: DataFrame, window: int = WINDOW) -> DataFrame:
             over = candidate_windows([b.column(1) for b in kept], words, block, window)
             yield from window_rows(part, docs, words, over, window, buckets)
 
-    shipped = candidates.mapInArrow(
+    shipped = in_order(candidates).mapInArrow(
         windows,
         "bucket int, part bigint, docs binary, h1 binary, h2 binary, id binary, doc binary, "
         "start binary, gone_doc binary, gone_start binary",
@@ -112,6 +112,16 @@ def repeated_positions(texts: DataFrame, window: int = WINDOW) -> DataFrame:
     return by_document(later, "starts")
 
 
+def in_order(texts: DataFrame) -> DataFrame:
+    """The rows of each task by document, so that a task run again has the same groups.
+
+    Groups are named by their place in a task and documents by their place in a group.
+    Rows of a shuffle come in the order they were fetched; a task that is run again
+    after a loss would give the same names to other documents.
+    """
+    return texts.sortWithinPartitions("doc_id", "text")
+
+
 def numbered(groups: Iterator) -> Iterator[tuple[int, object]]:
     """Groups of a task with numbers that no other task gives."""
     from pyspark import TaskContext
@@ -169,7 +179,7 @@ def matched_blocks(texts: DataFrame, block: int, buckets: int, bits: int) -> Dat
             names=["part", "docs", "doc", "blocks"],
         )
 
-    shipped = texts.mapInArrow(
+    shipped = in_order(texts).mapInArrow(
         index,
         "bucket int, part bigint, docs binary, probes binary, again binary, own binary, "
         "doc binary, number binary",

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from passages.llm import secrets, wordpiece
+from passages.llm import repeats, secrets, wordpiece
 from passages.llm.components import components
 from passages.llm.covertree import top_scores
 from passages.llm.decontaminate import contained_items, drop_contaminated
@@ -128,6 +128,22 @@ def test_repeats_equal_brute_force(documents, nothing):
     assert drop_repeats(nothing).count() == 0
 
 
+def test_repeats_name_places_alike_in_any_order_of_rows(documents, monkeypatch):
+    # A task that runs again may read its rows in another order.
+    texts = documents.select("doc_id", "text").coalesce(1)
+    plan = repeats.repeated_positions(texts)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    below = [b for a, b in zip(lines, lines[1:]) if "MapInArrow" in a]
+    assert len(below) == 2 and all("Sort [doc_id" in b and "text" in b for b in below)
+    monkeypatch.setattr(repeats, "by_document", lambda rows, value: rows)
+
+    def places(order):
+        found = repeats.matched_blocks(texts.sortWithinPartitions(order), 10, 4, 40)
+        return sorted(map(str, found.collect()))
+
+    assert places(F.asc("doc_id")) == places(F.desc("doc_id"))
+
+
 def test_quality_learns_and_handles_nothing(spark, documents, nothing):
     rows = [(i, sentence(i, 60) if i % 2 else "LOUD!! " * 60, i % 2) for i in range(300)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, quality int")
