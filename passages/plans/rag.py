@@ -10,7 +10,7 @@ from passages.functions.vectors import with_value
 from passages.operators.chunking import word_chunks
 from passages.operators.embedding import EMBEDDING_DIM, Embedder, embed_chunks, embed_queries
 from passages.operators.joins import join_lookup
-from passages.operators.points import point_chunk, point_doc, point_id
+from passages.operators.points import payload_text, point_chunk, point_doc, point_id
 from passages.operators.prompts import chat_request, context_text, rag_messages
 from passages.operators.search import BROADCAST_BYTES, topk_cosine
 
@@ -20,18 +20,29 @@ HIT_BYTES = 64
 
 
 def document_vectors(
-    documents: DataFrame, dim: int = EMBEDDING_DIM, embedder: Embedder | None = None
+    documents: DataFrame,
+    dim: int = EMBEDDING_DIM,
+    embedder: Embedder | None = None,
+    chunk_size: int = CHUNK_SIZE,
+    overlap: int = OVERLAP,
 ) -> DataFrame:
     """``(id, embedding)`` of the word chunks of all documents.
 
     Empty lines need no removal first: words are split at any white space.
     """
-    vectors = embed_chunks(word_chunks(documents), dim, embedder)
+    vectors = embed_chunks(
+        word_chunks(documents, chunk_size=chunk_size, overlap=overlap), dim, embedder
+    )
     return vectors.select(point_id().alias("id"), "embedding")
 
 
 def hit_texts(
-    hits: DataFrame, documents: DataFrame, most_hits: int, broadcast_bytes: int = BROADCAST_BYTES
+    hits: DataFrame,
+    documents: DataFrame,
+    most_hits: int,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    chunk_size: int = CHUNK_SIZE,
+    overlap: int = OVERLAP,
 ) -> DataFrame:
     """Add ``text`` to hits, cutting only the chunks that were hit.
 
@@ -44,8 +55,8 @@ def hit_texts(
     texts = documents.select("doc_id", F.col("text").alias("_text"))
 
     def chunk(words: Column, id: Column) -> Column:
-        first = point_chunk(id) * (CHUNK_SIZE - OVERLAP) + 1
-        return F.array_join(F.slice(words, first, F.lit(CHUNK_SIZE)), " ")
+        first = point_chunk(id) * (chunk_size - overlap) + 1
+        return F.array_join(F.slice(words, first, F.lit(chunk_size)), " ")
 
     if most_hits * HIT_BYTES > broadcast_bytes:
         joined = join_lookup(keyed, texts, "doc_id", ["query_id", "rank"], how="inner")
@@ -66,6 +77,16 @@ def hit_texts(
     )
 
 
+def stored_texts(
+    hits: DataFrame, points: DataFrame, most_hits: int, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Add ``text`` to hits from the payloads of the points that were hit."""
+    texts = points.select("id", payload_text("payload").alias("text"))
+    if most_hits * HIT_BYTES > broadcast_bytes:
+        return join_lookup(hits, texts, "id", ["query_id", "rank"], how="inner")
+    return texts.join(F.broadcast(hits), "id")
+
+
 def rag_prompts(
     documents: DataFrame,
     questions: DataFrame,
@@ -75,17 +96,28 @@ def rag_prompts(
     embedder: Embedder | None = None,
     legacy: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
+    chunk_size: int = CHUNK_SIZE,
+    overlap: int = OVERLAP,
 ) -> DataFrame:
     """``(query_id, context, body)``: a chat request for each question ``(query_id, text)``.
 
-    ``points`` ``(id, embedding)`` is a stored collection of the documents; without it
-    the documents are cut and embedded here.
+    ``points`` ``(id, embedding, payload)`` is a stored collection, and the text of a hit
+    is the one in its payload, however the documents were cut; a hit without it has no
+    text. Points without a payload must come from ``document_vectors`` of ``documents``
+    with this ``chunk_size`` and ``overlap``. Without ``points`` the documents are cut
+    and embedded here.
     """
+    stored = points is not None and "payload" in points.columns
     if points is None:
-        points = document_vectors(documents, dim, embedder)
+        points = document_vectors(documents, dim, embedder, chunk_size, overlap)
     asked = embed_queries(questions, dim, embedder=embedder)
     hits = topk_cosine(asked, points, k, dim=dim, broadcast_bytes=broadcast_bytes)
-    texts = hit_texts(hits, documents, questions.count() * k, broadcast_bytes)
+    if stored:
+        texts = stored_texts(hits, points, questions.count() * k, broadcast_bytes)
+    else:
+        texts = hit_texts(
+            hits, documents, questions.count() * k, broadcast_bytes, chunk_size, overlap
+        )
     found = context_text(questions, texts)
     return found.select(
         "query_id", "context",

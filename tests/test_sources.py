@@ -5,6 +5,9 @@ from passages.plans import rag
 from passages.session import scratch_path, shared_dir, spread
 from passages.sources import collections, documents, exchange
 from passages.operators import prompts
+from passages.operators.chunking import word_chunks
+from passages.operators.embedding import embed_chunks
+from passages.operators.points import make_points
 
 
 def _points(spark, *rows):
@@ -99,3 +102,21 @@ def test_hit_texts_both_ways(spark):
     stored = rag.document_vectors(docs)
     again = rag.rag_prompts(docs, asked, points=stored)
     assert sorted(map(tuple, few.collect())) == sorted(map(tuple, again.collect()))
+
+
+def test_stored_points_of_another_cut_give_their_own_texts(spark):
+    docs = spark.createDataFrame(
+        [(d, " ".join(f"d{d}w{i}" for i in range(700)), "s") for d in range(3)],
+        "doc_id long, text string, source string")
+    cut = word_chunks(docs, chunk_size=100, overlap=10, keep=("source",))
+    stored = make_points(embed_chunks(cut))
+    chunks = cut.collect()
+    asked = spark.createDataFrame([(i, r.text) for i, r in enumerate(chunks)],
+                                  "query_id long, text string")
+    for limit in (rag.BROADCAST_BYTES, 0):
+        found = rag.rag_prompts(docs, asked, k=1, points=stored, broadcast_bytes=limit)
+        assert {r.query_id: r.context for r in found.collect()} == {
+            i: r.text for i, r in enumerate(chunks)}
+        bare = rag.rag_prompts(docs, asked, k=1, points=stored.drop("payload"),
+                               broadcast_bytes=limit, chunk_size=100, overlap=10)
+        assert sorted(map(tuple, bare.collect())) == sorted(map(tuple, found.collect()))
