@@ -55,6 +55,7 @@ def char_window_chunks(
 ) -> DataFrame:
     """``(key, chunk_no, text)``: sliding windows of ``size`` code points.
 
+    The text is taken as it is; ``drop_empty_lines`` comes before, where it is wanted.
     Only full windows are kept, as a shorter tail holds less than a window; with
     ``keep_tail`` it follows as a last, short chunk. One regular-expression pass
     reads each text once: every match consumes a stride and looks ahead a window.

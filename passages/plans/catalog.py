@@ -260,7 +260,8 @@ def word_chunks(spark, sf):
 
 @query
 def char_window_chunks(spark, sf):
-    return chunking.char_window_chunks(_documents(spark, sf)).select(
+    lines = _documents(spark, sf).select("doc_id", tx.drop_empty_lines("text").alias("text"))
+    return chunking.char_window_chunks(lines).select(
         "doc_id", _long("chunk_no"), "text"
     )
 

@@ -3,6 +3,8 @@ import random
 import pytest
 
 from passages.operators.chunking import char_window_chunks, token_window_chunks, word_chunks
+from passages.plans.catalog import QUERIES
+from passages.session import scratch_path
 
 
 def _texts(spark, texts):
@@ -57,6 +59,15 @@ def test_char_windows(spark, size, overlap, keep_tail):
         assert found.get(doc, []) == [text[s:s + size] for s in starts]
 
 
+def test_char_windows_of_the_query_run_over_non_empty_lines(spark):
+    lines = [f"line {i} " + "x" * 40 for i in range(40)]
+    folder = scratch_path(spark, "blank-lines")
+    _texts(spark, ["\r\n\n".join(lines) + "\n\n"]).write.parquet(f"{folder}/documents.parquet")
+    text = "\n".join(lines)
+    assert _by_doc(QUERIES["char_window_chunks"](spark, folder).collect()) == {
+        0: [text[s:s + 400] for s in range(0, len(text) - 399, 320)]}
+
+
 @pytest.mark.parametrize("size,overlap,pad", [(510, 100, 512), (4, 1, 9), (3, 0, 5)])
 def test_token_windows(spark, size, overlap, pad):
     lists = [list(range(1000, 1000 + n)) for n in (0, 1, size, size + 1, 2 * size, 1300)]
