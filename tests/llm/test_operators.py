@@ -128,6 +128,22 @@ def test_repeats_equal_brute_force(documents, nothing):
     assert drop_repeats(nothing).count() == 0
 
 
+@pytest.mark.parametrize("count, slots", [(1, 2), (5, 101), (64, 4099)])
+def test_slots_go_to_shards_by_their_whole_preference(count, slots):
+    shards = [f"shard-{i:03d}" for i in range(count)]
+    orders = []
+    for shard in shards:
+        digest = hashlib.md5(shard.encode()).hexdigest()
+        offset, step = int(digest[:15], 16) % slots, int(digest[15:30], 16) % (slots - 1) + 1
+        orders.append([(offset + k * step) % slots for k in range(slots)])
+    owner, turn = {}, 0
+    while len(owner) < slots:
+        shard = turn % count
+        owner[next(s for s in orders[shard] if s not in owner)] = shard
+        turn += 1
+    assert fill_table(shards, slots) == [owner[s] for s in range(slots)]
+
+
 def test_repeats_name_places_alike_in_any_order_of_rows(documents, monkeypatch):
     # A task that runs again may read its rows in another order.
     texts = documents.select("doc_id", "text").coalesce(1)
