@@ -24,11 +24,36 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_good(docs, train_quality(docs, table(spark, sf_dir, "labels")))
 
 
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """One of the rows that repeat an id with the same text, the first by its other columns.
+
+    Only ids are counted for all rows; texts are moved only where an id is repeated, and
+    the table is then stored, so that its rows keep their order for the next steps.
+    """
+    counts = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count()
+    repeated = small(
+        store(counts.where("count > 1").select("doc_id"), "repeated-ids"), SHIPPED_ROWS
+    )
+    if repeated.isEmpty():
+        return docs
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    one = (
+        docs.join(repeated, "doc_id", "left_semi")
+        .groupBy("doc_id", "text")
+        .agg(F.min(F.struct(*others)).alias("_row"))
+        .select("doc_id", "text", "_row.*")
+    )
+    kept = docs.join(repeated, "doc_id", "left_anti").unionByName(one).select(docs.columns)
+    return store(kept, "without-repeats")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of linked documents the one with the smallest id stays.
 
-    Documents without words, or without an id, are in no group.
+    Documents without words, or without an id, are in no group. Of rows that repeat an id
+    with the same text one stays.
     """
+    docs = without_repeats(docs)
     groups = similar_sets(docs)
     gone = store(groups.where("component_id < doc_id").select("doc_id"), "near-duplicates")
     return docs.join(small(gone, SHIPPED_ROWS), "doc_id", "left_anti").select(docs.columns)

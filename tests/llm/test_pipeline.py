@@ -31,6 +31,18 @@ def test_the_result_packs_all_that_was_kept(stages):
         r.doc_id for r in before.collect()}
 
 
+def test_rows_that_repeat_an_id_and_a_text_stay_once(spark):
+    text = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, text, "b"), (1, text, "a"), (1, text, "a"), (2, text, "a"), (3, "other words", "a"),
+            (None, text, "a"), (None, text, "a"), (4, None, "a"), (4, None, "a")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    kept = corpus_pipeline.near_duplicates(spark, docs, TABLES)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, [
+        (1, text, "a"), (3, "other words", "a"), (None, text, "a"), (None, text, "a"),
+        (4, None, "a")]))
+
+
 def test_all_queries_are_registered():
     names = set(__spark_entry__.queries())
     assert "pipeline" in names
