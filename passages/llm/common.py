@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from passages.llm.hashing import BLOCK_BYTES, blocks
 from passages.session import scratch_path
@@ -54,6 +55,30 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, rows: int) -> DataFrame:
-    """Mark a stored table for broadcast if it has at most ``rows`` rows, else leave it."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+# A table of more bytes than this is never shipped, however few its rows.
+SHIPPED_BYTES = 64 << 20
+
+
+def width(value: Column, kind: T.DataType) -> Column:
+    """About how many bytes a value takes; what holds texts or lists is measured."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(value)
+    elif isinstance(kind, T.StructType):
+        size = sum((width(value[f.name], f.dataType) for f in kind.fields), F.lit(0))
+    elif isinstance(kind, T.ArrayType):
+        size = F.aggregate(
+            value, F.lit(0).cast("bigint"),
+            lambda total, x: total + width(x, kind.elementType).cast("bigint"),
+        ) if not isinstance(kind.elementType, T.NumericType) else F.size(value) * 8
+    else:
+        size = F.lit(0)
+    return F.coalesce(size, F.lit(0)) + 8
+
+
+def small(df: DataFrame, rows: int, most_bytes: int = SHIPPED_BYTES) -> DataFrame:
+    """Mark a stored table for broadcast if it has few rows and few bytes, else leave it."""
+    size = width(F.struct(*[F.col(f"`{c}`") for c in df.columns]), df.schema)
+    measured = df.select(size.alias("size")).limit(rows + 1).agg(
+        F.count("*").alias("rows"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")
+    ).first()
+    return F.broadcast(df) if measured.rows <= rows and measured.bytes <= most_bytes else df

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from passages.llm.covertree import top_scores
 from passages.llm.decontaminate import contained_items
+from passages.llm.filters import audit_filters
 from passages.llm.jaccard import similar_sets
 from passages.llm.licenses import license_scan
 from passages.llm.packing import pack_documents
@@ -71,6 +72,10 @@ def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secret_scan(table(spark, sf, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return audit_filters(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
 
@@ -88,6 +93,7 @@ QUERIES = {
     "op8_similar_sets": op8_similar_sets,
     "op9_shards": op9_shards,
     "op10_secret_scan": op10_secret_scan,
+    "op11_filter_audit": op11_filter_audit,
     "pipeline": pipeline,
 }
 
@@ -149,5 +155,50 @@ p AS (
 SELECT doc_id, source, n_chars, slot,
        'shard-' || lpad(owners[slot + 1], 3, '0') AS shard
 FROM p, o
+""",
+    "op11_filter_audit": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t-\r]+'), lambda w: w <> '') AS w
+  FROM documents
+), l AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good,
+         coalesce(bool_or(toxic = 1), false) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), m AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, {
+    'A': len(w) < 100,
+    'B': 100 * len(list_distinct(w)) < 80 * len(w),
+    'C': 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t),
+    'D': regexp_matches(t, '[#$%&*|]'),
+    'E': coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)} AS f
+  FROM d LEFT JOIN l USING (doc_id)
+), x AS (
+  SELECT part, good, toxic, f.A::INT + 2 * f.B::INT + 4 * f.C::INT + 8 * f.D::INT + 16 * f.E::INT AS failed
+  FROM m
+), c AS (
+  SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM x GROUP BY part, failed
+), b AS (SELECT unnest(range(5)) AS i), o AS (
+  SELECT [b1.i, b2.i, b3.i, b4.i, b5.i] AS places
+  FROM b b1, b b2, b b3, b b4, b b5
+  WHERE len(list_distinct([b1.i, b2.i, b3.i, b4.i, b5.i])) = 5
+), s AS (
+  SELECT array_to_string(list_transform(places, lambda i: 'ABCDE'[i + 1]), '') AS filter_order,
+         k::INT AS step,
+         coalesce(list_sum(list_transform(places[1:k - 1], lambda i: (1 << i)::INT)), 0)::INT AS earlier,
+         (1 << places[k])::INT AS own
+  FROM o, (SELECT unnest(range(1, 6)) AS k)
+), r AS (
+  SELECT part, filter_order, step, own,
+         coalesce(sum(n) FILTER ((failed & (earlier | own)) = 0), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER ((failed & own) > 0 AND (failed & earlier) = 0), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER ((failed & own) > 0 AND (failed & earlier) > 0), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (failed = own), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER ((failed & own) > 0 AND (failed & earlier) = 0), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER ((failed & own) > 0 AND (failed & earlier) = 0), 0)::BIGINT AS toxic_lost
+  FROM c, s GROUP BY part, filter_order, step, own
+)
+SELECT * EXCLUDE (own), (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM r
 """,
 }
