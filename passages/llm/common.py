@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,6 +48,31 @@ def map_texts(
     return df.select(*keys, F.col(text).alias("text")).mapInArrow(run, target)
 
 
+def map_rows(
+    df: DataFrame,
+    work: Callable[[], Callable[[pa.RecordBatch, pa.Array], pa.RecordBatch]],
+    text: str = "text",
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """Run ``work()`` once per task and its result on each block of whole rows and its texts.
+
+    As ``map_texts``, but all columns go through and the result has the same ones: rows may
+    be left out or their values replaced. NULL texts are empty in the texts given.
+    """
+    at = df.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = work()
+        for batch in batches:
+            texts = batch.column(at).fill_null("")
+            for begin, end in blocks(texts, block_bytes):
+                out = step(batch.slice(begin, end - begin), texts.slice(begin, end - begin))
+                if out.num_rows:
+                    yield out
+
+    return df.mapInArrow(run, df.schema)
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and go on from its files: lineage ends there."""
     path = scratch_path(df.sparkSession, name)
@@ -55,6 +80,26 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ranked(df: DataFrame, *order: Column) -> DataFrame:
+    """``df`` with ``place``, from 0 in that order, which must tell all rows apart.
+
+    Rows are sorted by ranges and stored; only the lengths of the ranges are summed, so no
+    task sees all rows.
+    """
+    number = F.monotonically_increasing_id()
+    # The high bits of the number are the task, the low 33 the row in it.
+    ranges = store(
+        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_number", number),
+        "ranges",
+    ).withColumn("_range", F.shiftright("_number", 33))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranges.groupBy("_range").count().select(
+        "_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start")
+    )
+    place = F.col("_start") + F.col("_number").bitwiseAND((1 << 33) - 1)
+    return ranges.join(F.broadcast(starts), "_range").select(*df.columns, place.alias("place"))
+
+
 # A table of more bytes than this is never shipped, however few its rows.
 SHIPPED_BYTES = 64 << 20
 

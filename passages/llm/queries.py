@@ -9,7 +9,9 @@ from passages.llm.covertree import top_scores
 from passages.llm.decontaminate import contained_items
 from passages.llm.filters import audit_filters
 from passages.llm.jaccard import similar_sets
+from passages.llm.lexical import ranked_search
 from passages.llm.licenses import license_scan
+from passages.llm.mixing import mix_sources
 from passages.llm.packing import pack_documents
 from passages.llm.quality import score_quality, train_quality
 from passages.llm.repeats import drop_repeats
@@ -76,6 +78,14 @@ def op11_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
     return audit_filters(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op12_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    return ranked_search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def op13_source_mix(spark: SparkSession, sf: str) -> DataFrame:
+    return mix_sources(table(spark, sf, "documents"))
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
 
@@ -94,6 +104,8 @@ QUERIES = {
     "op9_shards": op9_shards,
     "op10_secret_scan": op10_secret_scan,
     "op11_filter_audit": op11_filter_audit,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_source_mix": op13_source_mix,
     "pipeline": pipeline,
 }
 
@@ -200,5 +212,37 @@ WITH d AS (
   FROM c, s GROUP BY part, filter_order, step, own
 )
 SELECT * EXCLUDE (own), (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM r
+""",
+    "op12_lexical_search": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS place, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents WHERE doc_id IS NOT NULL
+), b AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE item_id IS NOT NULL
+), a AS (
+  SELECT count(*) FILTER (len(w) > 0) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d
+), t AS (
+  SELECT place, doc_id, len(w) AS n, unnest(w) AS term FROM d
+), f AS (
+  SELECT place, doc_id, n, term, count(*) AS tf FROM t
+  WHERE term IN (SELECT term FROM b) GROUP BY place, doc_id, n, term
+), w AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM f, a GROUP BY term, n_docs
+), s AS (
+  SELECT item_id, place, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM b JOIN f USING (term) JOIN w USING (term), a GROUP BY item_id, place, doc_id
+), r AS (
+  SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank,
+         doc_id, score
+  FROM s WHERE score > 0
+)
+SELECT * FROM r WHERE rank <= 10
 """,
 }

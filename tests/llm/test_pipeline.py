@@ -47,4 +47,4 @@ def test_all_queries_are_registered():
     names = set(__spark_entry__.queries())
     assert "pipeline" in names
     assert {n.split("_")[0] for n in names if n[:2] == "op" and n[2].isdigit()} == {
-        f"op{i}" for i in range(1, 11)}
+        f"op{i}" for i in range(1, 14)}
