@@ -12,13 +12,12 @@ from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from passages.llm.common import map_texts
-from passages.llm.hashing import WordHasher, _bytes_of, blocks
+from passages.llm.common import map_rows, map_texts
+from passages.llm.hashing import WordHasher, _bytes_of
 
 FEATURES = (
     "log_words", "word_bytes", "upper_share", "digit_share", "symbol_share", "bar_share",
@@ -280,13 +279,18 @@ def score_quality(documents: DataFrame, model: AdditiveModel) -> DataFrame:
 
 
 def keep_good(documents: DataFrame, model: AdditiveModel) -> DataFrame:
-    """The rows of ``documents`` that the model does not reject, with all their columns."""
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
+    """The rows of ``documents`` that the model does not reject, with all their columns.
+
+    Empty and NULL texts are scored like any other; repeated rows and NULL ids stay or go
+    by their text alone; an empty table stays empty.
+    """
+
+    def work():
         hasher = WordHasher(1, fold_case=False)
-        column = pa.array(texts.fillna(""), pa.string())
-        parts = [model.score(features_of(column.slice(b, e - b), hasher))
-                 for b, e in blocks(column)]
-        return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
 
-    return documents.where(score("text") >= 0.5)
+        def step(rows: pa.RecordBatch, texts: pa.Array) -> pa.RecordBatch:
+            return rows.filter(pa.array(model.score(features_of(texts, hasher)) >= 0.5))
+
+        return step
+
+    return map_rows(documents, work)

@@ -12,12 +12,10 @@ import math
 import re
 from functools import cache
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from passages.llm.common import map_texts
+from passages.llm.common import map_rows, map_texts
 
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -211,10 +209,17 @@ def secret_scan(documents: DataFrame) -> DataFrame:
 
 
 def redact_secrets(documents: DataFrame) -> DataFrame:
-    """``documents`` with every secret in ``text`` masked; NULL texts and other columns stay."""
+    """``documents`` with every secret in ``text`` masked; NULL texts and other columns stay.
 
-    @F.pandas_udf("string")
-    def masked(texts: pd.Series) -> pd.Series:
-        return texts.map(redact_text, na_action="ignore")
+    Every row stays, repeated ones too; an empty table stays empty.
+    """
+    at = documents.columns.index("text")
+
+    def work():
+        def step(rows: pa.RecordBatch, _: pa.Array) -> pa.RecordBatch:
+            masked = [None if t is None else redact_text(t) for t in rows.column(at).to_pylist()]
+            return rows.set_column(at, rows.schema.field(at), pa.array(masked, rows.schema.field(at).type))
+
+        return step
 
-    return documents.withColumn("text", masked("text"))
+    return map_rows(documents, work)
