@@ -19,6 +19,10 @@ from passages.llm.queries import table, tokenizer_path
 from passages.llm.secrets import redact_secrets
 
 
+# Words that a packing worker remembers: its memory still holds what other stages used.
+PACKING_WORDS = 400_000
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
     return keep_good(docs, train_quality(docs, table(spark, sf_dir, "labels")))
@@ -72,7 +76,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, in sequences of up to 4096 tokens."""
-    return pack_documents(docs, tokenizer_path())
+    return pack_documents(docs, tokenizer_path(), remembered=PACKING_WORDS)
 
 
 STAGES = [

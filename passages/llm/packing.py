@@ -47,12 +47,13 @@ class Encoder:
     may end in a mark once normalised, which a stop would join.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {"": b""}
+        self.remembered = remembered
         self.end = np.array([END_ID], "<u4").tobytes()
 
     def _encode(self, words: list[str]) -> None:
@@ -75,7 +76,7 @@ class Encoder:
         words = [t.replace("\n", " ").split(" ") for t in texts]
         every = set().union(*words)
         fresh = every.difference(self.known)
-        if len(self.known) + len(fresh) > REMEMBERED:
+        if len(self.known) + len(fresh) > self.remembered:
             self.known = {"": b""}
             fresh = every - {""}
         if fresh:
@@ -84,8 +85,8 @@ class Encoder:
 
 
 @lru_cache(2)
-def encoder_for(path: str) -> Encoder:
-    return Encoder(path)
+def encoder_for(path: str, remembered: int) -> Encoder:
+    return Encoder(path, remembered)
 
 
 def tier_of(length: int, tiers: tuple[int, ...] = TIERS) -> int:
@@ -198,7 +199,7 @@ class Packer:
 
 def pack_documents(
     documents: DataFrame, tokenizer: str, tiers: tuple[int, ...] = TIERS,
-    group_tokens: int = GROUP_TOKENS,
+    group_tokens: int = GROUP_TOKENS, remembered: int = REMEMBERED,
 ) -> DataFrame:
     """One row per piece of a document ``(doc_id, text)``, with its place in a sequence.
 
@@ -207,13 +208,14 @@ def pack_documents(
     its last open window is recut at powers of two, so that nothing is padded at all.
     ``tiers`` are powers of two, rising. A sequence's number holds its task's number, which
     depends on the layout of the input only, so a retried task gives the same rows. NULL
-    ids stay NULL, repeated rows are packed each, an empty table gives no piece.
+    ids stay NULL, repeated rows are packed each, an empty table gives no piece. A worker
+    remembers the ids of at most ``remembered`` words, some 170 bytes each.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode = encoder_for(tokenizer)
+        encode = encoder_for(tokenizer, remembered)
         packer = Packer(TaskContext.get().partitionId(), tiers)
         for batch in batches:
             texts = batch.column(1).fill_null("")
