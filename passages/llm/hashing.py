@@ -163,6 +163,7 @@ def word_groups(
             if total >= most_words:
                 yield together()
                 kept, hashes, counts, total = [], [], [], 0
+                pa.default_memory_pool().release_unused()
     if kept:
         yield together()
 

@@ -37,7 +37,7 @@ from passages.llm.repeats import numbered, ranges_for
 
 SHINGLE_WORDS = 5
 PERCENT = 75
-GROUP_WORDS = 1_000_000
+GROUP_WORDS = 250_000
 # A shingle in more sets than this is frequent.
 RARE = 16
 # Sets below this size index frequent shingles one by one too.
@@ -98,7 +98,7 @@ def set_table(texts: DataFrame) -> DataFrame:
     """``(doc_id, n, s1, s2)``: size and mark of each document's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for kept, words in word_groups(batches, WordHasher(1, fold_case=True), GROUP_WORDS // 4):
+        for kept, words in word_groups(batches, WordHasher(1, fold_case=True), GROUP_WORDS):
             ids = _ids(kept)
             marks = set_marks(*shingle_sets(words), len(ids))
             yield pa.RecordBatch.from_arrays(
@@ -182,7 +182,7 @@ def sets_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     rows = texts.join(wanted, "doc_id").select("doc_id", "s1", "s2", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for kept, words in word_groups(batches, WordHasher(1, fold_case=True), GROUP_WORDS // 4):
+        for kept, words in word_groups(batches, WordHasher(1, fold_case=True), GROUP_WORDS):
             ids = _ids(kept)
             doc, hashes = shingle_sets(words)
             n, s1, s2 = set_marks(doc, hashes, len(ids))
