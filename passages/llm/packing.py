@@ -29,6 +29,7 @@ END_ID = 2
 GROUP_TOKENS = 1 << 20
 STEP_TOKENS = 32 * 4096
 REMEMBERED = 1_500_000
+ENCODED_AT_ONCE = 2048
 SCHEMA = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
     "sequence_id bigint, offset bigint, tier int, step_id bigint"
@@ -57,9 +58,12 @@ class Encoder:
         self.end = np.array([END_ID], "<u4").tobytes()
 
     def _encode(self, words: list[str]) -> None:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        for word, encoding in zip(words, found):
-            self.known[word] = np.array(encoding.ids, "<u4").tobytes()
+        # An encoding takes some kilobytes until its ids are read.
+        for begin in range(0, len(words), ENCODED_AT_ONCE):
+            some = words[begin:begin + ENCODED_AT_ONCE]
+            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            for word, encoding in zip(some, found):
+                self.known[word] = np.array(encoding.ids, "<u4").tobytes()
 
     def _learn(self, words: set[str]) -> None:
         known, plain = self.known, {}
