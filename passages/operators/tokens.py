@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -18,8 +20,10 @@ from passages.session import scratch_path
 # Reserved rows of every vocabulary.
 SPECIAL_TOKENS = {"[PAD]": PAD_ID, "[UNK]": UNK_ID, "[CLS]": CLS_ID, "[SEP]": SEP_ID}
 FIRST_WORD_ID = 1000
-# A vocabulary up to this many rows is shipped to the tasks.
-BROADCAST_ROWS = 500_000
+# A vocabulary up to this many rows and bytes is shipped to the tasks.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 32 << 20
+# Elements of the rows that share one dictionary, and rows of one batch of them.
+GROUP_VALUES, OUT_ROWS = 1 << 21, 10_000
 
 
 def build_vocab(df: DataFrame, text: str = "text", size: int | None = None) -> DataFrame:
@@ -62,46 +66,151 @@ def translate(
     lookup: DataFrame,
     source: str,
     target: str,
-    key: str = "doc_id",
     broadcast_rows: int = BROADCAST_ROWS,
+    group_values: int = GROUP_VALUES,
 ) -> DataFrame:
     """Replace each element of an array column through ``lookup``; unknown gives NULL.
 
-    A lookup of at most ``broadcast_rows`` rows is shipped to the tasks and rows stay in
-    place. A larger one is joined element by element, with frequent elements salted,
-    and the arrays are put together again per ``key``, which must be unique.
+    A lookup of at most ``broadcast_rows`` rows and ``BROADCAST_BYTES`` is shipped to the
+    tasks and rows stay in place. For a larger one see ``translate_by_dictionary``.
     """
     lookup = lookup.select(source, target)
-    target_type = lookup.schema[target].dataType
-    rows = lookup.limit(broadcast_rows + 1).toArrow()
-    if rows.num_rows <= broadcast_rows:
-        shared = df.sparkSession.sparkContext.broadcast(rows.combine_chunks())
-
-        @F.arrow_udf(T.ArrayType(target_type))
-        def mapped(arrays: pa.Array) -> pa.Array:
-            table = shared.value
-            keys, values = table.column(0).combine_chunks(), table.column(1).combine_chunks()
-            found = values.take(pc.index_in(arrays.flatten().cast(keys.type), value_set=keys))
-            lengths = pc.fill_null(pc.list_value_length(arrays), 0).to_numpy(zero_copy_only=False)
-            offsets = pa.array([0], pa.int32()) if not len(lengths) else pa.array(
-                [0, *lengths.cumsum().tolist()], pa.int32()
-            )
-            return pa.ListArray.from_arrays(offsets, found, mask=arrays.is_null())
-
-        return df.withColumn(column, mapped(column))
-    exploded = df.select(key, F.posexplode(column).alias("_pos", source))
-    joined = join_lookup(exploded, lookup, source, spread_by=[key, "_pos"])
-    ordered = F.sort_array(F.collect_list(F.struct("_pos", target)))
-    arrays = joined.groupBy(key).agg(F.transform(ordered, lambda r: r[target]).alias("_new"))
-    empty = F.array().cast(T.ArrayType(target_type))
-    return (
-        df.join(arrays, key, "left")
-        .withColumn(
-            column,
-            F.when(F.col(column).isNotNull(), F.coalesce("_new", empty)),
-        )
-        .drop("_new")
-    )
+    size = lookup.select(
+        (F.octet_length(F.col(source).cast("string")) + F.octet_length(F.col(target).cast("string")))
+        .alias("size")
+    ).limit(broadcast_rows + 1).agg(
+        F.count("*").alias("rows"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")
+    ).first()
+    if size["rows"] > broadcast_rows or size["bytes"] > BROADCAST_BYTES:
+        return translate_by_dictionary(df, column, lookup, source, target, group_values)
+    shared = df.sparkSession.sparkContext.broadcast(lookup.toArrow().combine_chunks())
+
+    @F.arrow_udf(T.ArrayType(lookup.schema[target].dataType))
+    def mapped(arrays: pa.Array) -> pa.Array:
+        table = shared.value
+        keys, values = table.column(0).combine_chunks(), table.column(1).combine_chunks()
+        found = values.take(pc.index_in(arrays.flatten().cast(keys.type), value_set=keys))
+        return _lists(found, arrays)
+
+    return df.withColumn(column, mapped(column))
+
+
+def _lists(values: pa.Array, like: pa.Array) -> pa.Array:
+    """Lists of the lengths of ``like`` over flat ``values``; a NULL list stays NULL."""
+    lengths = pc.fill_null(pc.list_value_length(like), 0).to_numpy(zero_copy_only=False)
+    offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+    return pa.ListArray.from_arrays(offsets, values, mask=like.is_null())
+
+
+def translate_by_dictionary(
+    df: DataFrame, column: str, lookup: DataFrame, source: str, target: str,
+    group_values: int = GROUP_VALUES,
+) -> DataFrame:
+    """``translate`` through a lookup of any size.
+
+    A task puts its rows together in groups of about ``group_values`` elements, replaces
+    the elements by places in the group's own dictionary and stores both. Only the
+    dictionaries are shuffled and joined, so a word costs a row for each group that has it,
+    however often it occurs. The rows are stored in buckets of their groups and stay there:
+    what the join found comes to them, group by group.
+    """
+    spark = df.sparkSession
+    others = [c for c in df.columns if c != column]
+    rows = df.select(*others, column)
+    nullable = [T.StructField(c, df.schema[c].dataType) for c in others]
+    stored_schema = T.StructType([
+        T.StructField("_part", T.LongType()), *nullable,
+        T.StructField("_codes", T.ArrayType(T.IntegerType())),
+        T.StructField("_own", T.ArrayType(lookup.schema[source].dataType)),
+    ])
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        schema = to_arrow_schema(stored_schema)
+        first = TaskContext.get().partitionId() << 32
+        for number, table in enumerate(_groups(batches, len(others), group_values)):
+            lists = table.column(len(others)).combine_chunks()
+            lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+            coded = lists.flatten().cast(schema.field("_own").type.value_type).dictionary_encode()
+            part = pa.array([first + number], pa.int64())
+            yield from pa.Table.from_arrays(
+                [part.take(pa.array(np.zeros(len(lists), np.int64))), *table.columns[:-1],
+                 _lists(coded.indices, lists), pa.nulls(len(lists), schema.field("_own").type)],
+                schema=schema,
+            ).to_batches(max_chunksize=OUT_ROWS)
+            own = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary)
+            yield pa.RecordBatch.from_arrays(
+                [part, *[pa.nulls(1, f.type) for f in schema][1:-1], own], schema=schema)
+
+    stored = in_buckets(rows.mapInArrow(code, stored_schema), "_part")
+    own = stored.where("_own IS NOT NULL").select(
+        F.col("_part").alias("_group"), F.posexplode("_own").alias("_place", source))
+    found = own.join(lookup, source).select("_group", "_place", F.col(target).alias("_new"))
+    coded = stored.where("_own IS NULL").select("_part", *others, "_codes")
+    result = T.StructType([
+        *[stored.schema[c] for c in others], T.StructField(column, T.ArrayType(lookup.schema[target].dataType))])
+
+    def decode(left: pa.Table, right: pa.Table) -> pa.Table:
+        lists = left["_codes"].combine_chunks()
+        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+        codes = lists.flatten()
+        places = right["_place"].to_numpy()
+        most = max(pc.max(codes).as_py() or 0, int(places.max()) if len(places) else 0)
+        row_of = np.full(most + 1, -1, np.int64)
+        row_of[places] = np.arange(len(places))
+        at = row_of[pc.fill_null(codes, 0).to_numpy()]
+        unknown = (at < 0) | codes.is_null().to_numpy(zero_copy_only=False)
+        values = right["_new"].combine_chunks()
+        values = values.chunk(0) if isinstance(values, pa.ChunkedArray) else values
+        new = values.take(pa.array(at, mask=unknown))
+        return pa.table([*left.columns[1:-1], _lists(new, lists)], names=result.names)
+
+    answered = coded.groupBy("_part").cogroup(found.groupBy("_group")).applyInArrow(decode, result)
+    return answered.select(*df.columns)
+
+
+def _groups(batches: Iterator[pa.RecordBatch], at: int, most: int) -> Iterator[pa.Table]:
+    """Rows put together until the lists of column ``at`` have ``most`` elements, or one row."""
+    waiting: list[pa.RecordBatch] = []
+    held = 0
+    for batch in batches:
+        lengths = pc.fill_null(pc.list_value_length(batch.column(at)), 0)
+        ends = np.cumsum(lengths.to_numpy(zero_copy_only=False).astype(np.int64))
+        begin = done = 0
+        while begin < batch.num_rows:
+            end = int(np.searchsorted(ends, done + most - held, side="right"))
+            if end == begin and waiting:
+                yield pa.Table.from_batches(waiting)
+                waiting, held = [], 0
+                continue
+            end = max(end, begin + 1)
+            waiting.append(batch.slice(begin, end - begin))
+            held += int(ends[end - 1]) - done
+            begin, done = end, int(ends[end - 1])
+            if held >= most:
+                yield pa.Table.from_batches(waiting)
+                waiting, held = [], 0
+    if waiting:
+        yield pa.Table.from_batches(waiting)
+
+
+def in_buckets(df: DataFrame, key: str) -> DataFrame:
+    """Store ``df`` in buckets of ``key``, so that grouping by it moves no row.
+
+    Rows of one key must lie in one task, or its bucket has several files. The table has a
+    name only while it is written and opened.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "buckets")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.write.format("parquet").option("path", path).option("compression", "zstd")
+     .bucketBy(buckets, key).saveAsTable(name))
+    stored = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return stored
 
 
 def encode_corpus(
@@ -117,7 +226,7 @@ def encode_corpus(
     A word outside the vocabulary becomes ``[UNK]``; a text without words keeps its row.
     """
     split = df.select(key, words(text).alias("ids"))
-    coded = translate(split, "ids", vocab, "token", "id", key, broadcast_rows)
+    coded = translate(split, "ids", vocab, "token", "id", broadcast_rows)
     ids = F.transform("ids", lambda x: F.coalesce(x, F.lit(UNK_ID)))
     if special:
         ids = F.concat(F.array(F.lit(CLS_ID)), ids, F.array(F.lit(SEP_ID)))
@@ -135,11 +244,12 @@ def decode_corpus(
     ids: str = "ids",
     skip_special: bool = True,
     broadcast_rows: int = BROADCAST_ROWS,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``(key, text)``: the tokens of an id list joined by a space."""
-    kept = df.select(key, (without_specials(ids) if skip_special else F.col(ids)).alias("_ids"))
-    tokens = translate(kept, "_ids", vocab, "id", "token", key, broadcast_rows)
-    return tokens.select(key, F.array_join("_ids", " ").alias("text"))
+    """``(key, *keep, text)``: the tokens of an id list joined by a space."""
+    kept = df.select(key, *keep, (without_specials(ids) if skip_special else F.col(ids)).alias("_ids"))
+    tokens = translate(kept, "_ids", vocab, "id", "token", broadcast_rows)
+    return tokens.select(key, *keep, F.array_join("_ids", " ").alias("text"))
 
 
 def token_listing(
@@ -151,7 +261,7 @@ def token_listing(
 ) -> DataFrame:
     """``(key, pos, id, token)``: one row per token, in printable form."""
     both = df.select(key, F.col(ids).alias("ids"), F.col(ids).alias("_tokens"))
-    named = translate(both, "_tokens", vocab, "id", "token", key, broadcast_rows)
+    named = translate(both, "_tokens", vocab, "id", "token", broadcast_rows)
     pairs = named.select(key, F.posexplode(F.arrays_zip("ids", "_tokens")).alias("pos", "_pair"))
     return pairs.select(
         key, "pos", F.col("_pair.ids").alias("id"),

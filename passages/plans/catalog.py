@@ -61,11 +61,6 @@ def _vectors(spark: SparkSession, sf: str) -> DataFrame:
     return spread(_table(spark, sf, "embeddings"), "vec_id")
 
 
-def _vocab(df: DataFrame) -> DataFrame:
-    """The vocabulary that the SQL states, which ends at 30,000 words."""
-    return tokens.build_vocab(df, size=30_000)
-
-
 def _with_model(df: DataFrame) -> DataFrame:
     """Give each conversation a model, one of every prompt family."""
     models = F.array(*[F.lit(m) for m in ("7b-open-chat-3.5", "7b-zephyr-b", "mixtral", "7b-chat")])
@@ -269,7 +264,7 @@ def char_window_chunks(spark, sf):
 @query
 def token_window_chunks(spark, sf):
     docs = _documents(spark, sf)
-    ids = tokens.encode_corpus(docs, _vocab(docs), special=False)
+    ids = tokens.encode_corpus(docs, tokens.build_vocab(docs), special=False)
     return chunking.token_window_chunks(ids).select(
         "doc_id", _long("chunk_no"), _joined("ids").alias("ids"), _joined("mask").alias("mask")
     )
@@ -278,7 +273,7 @@ def token_window_chunks(spark, sf):
 @query
 def pad_batch(spark, sf):
     turns = _keyed_turns(spark, sf)
-    ids = tokens.encode_corpus(turns, _vocab(turns), key="seq_id")
+    ids = tokens.encode_corpus(turns, tokens.build_vocab(turns), key="seq_id")
     batch = ids.withColumn("conv_id", points.point_doc("seq_id"))
     return tokens.pad_batch(batch, "conv_id", "seq_id").select(
         "conv_id", "seq_id", _joined("ids").alias("ids")
@@ -290,20 +285,20 @@ def pad_batch(spark, sf):
 
 @query
 def build_vocab(spark, sf):
-    return _vocab(_documents(spark, sf)).select("token", _long("id"))
+    return tokens.build_vocab(_documents(spark, sf)).select("token", _long("id"))
 
 
 @query
 def encode_corpus(spark, sf):
     docs = _documents(spark, sf)
-    ids = tokens.encode_corpus(docs, _vocab(docs))
+    ids = tokens.encode_corpus(docs, tokens.build_vocab(docs))
     return ids.select("doc_id", _joined("ids").alias("ids"))
 
 
 @query
 def decode_corpus(spark, sf):
     docs = _documents(spark, sf)
-    vocab = _stored(spark, _vocab(docs), "vocab")
+    vocab = _stored(spark, tokens.build_vocab(docs), "vocab")
     return tokens.decode_corpus(tokens.encode_corpus(docs, vocab), vocab)
 
 
@@ -312,15 +307,14 @@ def whole_vocab(spark, sf):
     # All words of the documents: no id is [UNK] and every word comes back.
     docs = _documents(spark, sf)
     vocab = tokens.build_vocab(docs)
-    coded = _stored(spark, tokens.encode_corpus(docs, vocab), "coded")
-    back = tokens.decode_corpus(coded, vocab)
-    return coded.join(back, "doc_id").select("doc_id", _joined("ids").alias("ids"), "text")
+    back = tokens.decode_corpus(tokens.encode_corpus(docs, vocab), vocab, keep=("ids",))
+    return back.select("doc_id", _joined("ids").alias("ids"), "text")
 
 
 @query
 def token_listing(spark, sf):
     turns = _keyed_turns(spark, sf).withColumn("text", F.replace("text", F.lit("\n"), F.lit(" <0x0A> ▁")))
-    vocab = _stored(spark, _vocab(turns), "vocab")
+    vocab = _stored(spark, tokens.build_vocab(turns), "vocab")
     ids = tokens.encode_corpus(turns, vocab, key="seq_id")
     return tokens.token_listing(ids, vocab, key="seq_id").select(
         "seq_id", _long("pos"), _long("id"), "token"
@@ -380,7 +374,7 @@ def embed_chunks(spark, sf):
 @query
 def window_vectors(spark, sf):
     docs = _documents(spark, sf)
-    vocab = _stored(spark, _vocab(docs), "vocab")
+    vocab = _stored(spark, tokens.build_vocab(docs), "vocab")
     vectors = windows.window_vectors(docs, vocab)
     return vectors.select("doc_id", _long("chunk_no"), _whole("embedding").alias("embedding"))
 
@@ -564,7 +558,7 @@ def chat_messages(spark, sf):
 def chat_history(spark, sf):
     turns = _turns(spark, sf, "user", "assistant")
     keyed = turns.select("conv_id", "turn", "role", points.point_id("conv_id", "turn").alias("seq_id"), "text")
-    ids = tokens.encode_corpus(keyed, _vocab(keyed), key="seq_id")
+    ids = tokens.encode_corpus(keyed, tokens.build_vocab(keyed), key="seq_id")
     coded = ids.select(
         points.point_doc("seq_id").alias("conv_id"), points.point_chunk("seq_id").alias("turn"), "ids"
     )
@@ -575,7 +569,7 @@ def chat_history(spark, sf):
 @query
 def chat_context(spark, sf):
     turns = _with_model(_turns(spark, sf))
-    vocab = _stored(spark, _vocab(turns), "vocab")
+    vocab = _stored(spark, tokens.build_vocab(turns), "vocab")
     context = chats.chat_context(turns, vocab, max_length=512, sample_length=101)
     return context.select("conv_id", _long("turn"), _joined("ids").alias("ids"))
 

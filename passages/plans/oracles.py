@@ -78,7 +78,7 @@ vocab_top AS (
   SELECT token, row_number() OVER (ORDER BY n DESC, token) AS r FROM vocab_counts),
 vocab AS (
   SELECT token, 999 + r AS id FROM vocab_top
-  WHERE r <= 30000 AND token NOT IN ('[PAD]', '[UNK]', '[CLS]', '[SEP]')
+  WHERE token NOT IN ('[PAD]', '[UNK]', '[CLS]', '[SEP]')
   UNION ALL
   SELECT * FROM (VALUES ('[PAD]', 0), ('[UNK]', 100), ('[CLS]', 101), ('[SEP]', 102)) t(token, id))"""
 
@@ -257,7 +257,7 @@ SELECT d.doc_id, coalesce(x.text, '') AS text FROM documents d LEFT JOIN (
   FROM positions p JOIN vocab v ON v.token = p.token AND v.id >= 1000 GROUP BY p.doc_id) x
 ON x.doc_id = d.doc_id""",
     "whole_vocab": _with(
-        _vocab("documents").replace("r <= 30000 AND ", ""), _encoded("documents", "doc_id")
+        _vocab("documents"), _encoded("documents", "doc_id")
     ) + f"""
 SELECT e.doc_id, array_to_string(list_concat([101], e.ids, [102]), ' ') AS ids,
   array_to_string({_words('d.text')}, ' ') AS text

@@ -110,3 +110,36 @@ def test_cuts(spark):
     assert cut([9, 1, 9, 2]) == [9]
     assert cut([9, 1, 9, 2], skip_first=True) == [9, 1, 9]
     assert cut([9, 1], skip_first=True) == [9, 1]
+
+
+def test_dictionaries_keep_nulls_columns_and_groups(spark):
+    rows = [(i, f"n{i}", [f"w{j % 7}" if j % 5 else None for j in range(i % 9)] if i % 4 else None)
+            for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, name string, t array<string>").repartition(3)
+    lookup = spark.createDataFrame([(f"w{j}", j) for j in range(5)], "token string, id int")
+    expected = {i: (n, None if t is None else [
+        int(w[1]) if w and w != "w5" and w != "w6" else None for w in t]) for i, n, t in rows}
+    for values in (1, 10, 1000):
+        found = tokens.translate(df, "t", lookup, "token", "id", broadcast_rows=1, group_values=values)
+        assert found.columns == df.columns
+        assert {r.id: (r.name, r.t) for r in found.collect()} == expected
+    nothing = tokens.translate(df.limit(0), "t", lookup, "token", "id", broadcast_rows=1)
+    assert nothing.count() == 0
+
+
+def test_long_words_are_not_shipped(spark, monkeypatch):
+    monkeypatch.setattr(tokens, "BROADCAST_BYTES", 1000)
+    df = spark.createDataFrame([(1, "a " + "x" * 5000 + " a")], "doc_id long, text string")
+    vocab = tokens.build_vocab(df)
+    coded = tokens.encode_corpus(df, vocab)
+    assert "Cogroup" in coded._jdf.queryExecution().toString() or "CoGroup" in (
+        coded._jdf.queryExecution().toString())
+    assert coded.first().ids == [101, 1000, 1001, 1000, 102]
+
+
+def test_rows_in_buckets_are_not_shuffled_to_their_dictionaries(spark):
+    df = spark.createDataFrame([(i, f"a b{i}") for i in range(50)], "doc_id long, text string")
+    coded = tokens.encode_corpus(df, tokens.build_vocab(df), broadcast_rows=1)
+    plan = coded._jdf.queryExecution().executedPlan().toString()
+    bucketed = [line for line in plan.splitlines() if "_codes" in line and "Exchange" in line]
+    assert "Bucketed: true" in plan and not bucketed
