@@ -235,7 +235,8 @@ def train_quality(
 
     The sample is drawn by a hash of the id, so it does not depend on the layout of the
     tables; its ids are few enough to be shipped to the documents, and its features to be
-    fitted on the driver. Of several labels of one id the largest counts.
+    fitted on the driver. Of several labels of one id the largest counts, of several texts
+    the one with the smallest features.
     """
     wanted = (
         labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
@@ -247,9 +248,9 @@ def train_quality(
         F.broadcast(wanted.select("doc_id")), "doc_id", "left_semi"
     )
     rows = (
-        text_features(texts).join(drawn, F.col("doc_id") == F.col("_id"))
-        .select("doc_id", "features", "quality").limit(2 * sample_rows).toArrow()
-        .sort_by("doc_id")
+        text_features(texts).groupBy("doc_id").agg(F.min("features").alias("features"))
+        .join(drawn, F.col("doc_id") == F.col("_id"))
+        .select("doc_id", "features", "quality").toArrow().sort_by("doc_id")
     )
     features = np.array(rows["features"].to_pylist(), float).reshape(-1, len(FEATURES))
     return fit(features, (rows["quality"].to_numpy() > 0).astype(float))

@@ -66,8 +66,7 @@ def op8_similar_sets(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op9_shards(spark: SparkSession, sf: str) -> DataFrame:
-    documents = table(spark, sf, "documents").select("doc_id", "source", "n_chars")
-    return place(documents, "doc_id", SHARDS)
+    return place(table(spark, sf, "documents"), "doc_id", SHARDS)
 
 
 def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -160,11 +159,11 @@ FROM hits JOIN n USING (item_id) WHERE 100 * n_shared >= 75 * n_shingles
     "op9_shards": f"""
 WITH o AS (SELECT string_split('{_owners}', ',') AS owners),
 p AS (
-  SELECT doc_id, source, n_chars,
+  SELECT *,
          ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT % {TABLE_SLOTS} AS slot
   FROM documents
 )
-SELECT doc_id, source, n_chars, slot,
+SELECT p.*,
        'shard-' || lpad(owners[slot + 1], 3, '0') AS shard
 FROM p, o
 """,
