@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from passages.functions import text as tx
 from passages.functions import vectors as vec
 from passages.operators import (
-    assembly, chat, chunking, embedding, metrics, pairs, points, prompts, search, tokens,
+    assembly, chat, chunking, coded, embedding, metrics, pairs, points, prompts, search, tokens,
 )
 from passages.operators.joins import join_lookup
 from passages.plans import chats, rag, ranking, windows
@@ -420,6 +420,31 @@ def topk_cosine(spark, sf):
     return _hits(search.topk_cosine(asked, rag.document_vectors(_documents(spark, sf))))
 
 
+@query
+def topk_coded(spark, sf):
+    # The stored vectors with their codes: the first pass reads codes only.
+    stored = _stored(spark, coded.code_points(rag.document_vectors(_documents(spark, sf))), "coded")
+    return _hits(coded.topk_coded(embedding.embed_queries(_questions(spark, sf)), stored))
+
+
+@query
+def search_collection(spark, sf):
+    root = scratch_path(spark, "collections")
+    chunks = chunking.word_chunks(_documents(spark, sf), keep=("lang", "source"))
+    stored = embedding.embed_chunks(chunks).select(
+        points.point_id().alias("id"), "embedding", "lang",
+        points.wrap_payload("text", "source").alias("payload"),
+    )
+    collections.recreate_collection(
+        spark, root, "chunks", stored, 64, partition_by=("lang",), coded=True)
+    hits = rag.search_collection(
+        spark, root, "chunks", _questions(spark, sf), where=F.col("lang") == "en")
+    return hits.select(
+        "query_id", "id", "score", _long("rank"), points.payload_text("payload").alias("txt_chunk"),
+        F.try_element_at("payload", F.lit("source")).alias("source"),
+    )
+
+
 @query
 def topk_cosine_sparse(spark, sf):
     words = embedding.spaced_words("text")

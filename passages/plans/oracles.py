@@ -337,6 +337,17 @@ FROM flat JOIN means USING (label, dim) GROUP BY vec_id""",
         CHUNKS, QUESTIONS, _embedding("chunks", "id", "vectors"),
         _embedding("questions", "query_id", "asked"), _topk("vectors"),
     ) + "SELECT * FROM hits",
+    "topk_coded": _with(
+        CHUNKS, QUESTIONS, _embedding("chunks", "id", "vectors"),
+        _embedding("questions", "query_id", "asked"), _topk("vectors"),
+    ) + "SELECT * FROM hits",
+    "search_collection": _with(
+        CHUNKS, QUESTIONS, "english AS (SELECT * FROM chunks WHERE lang = 'en')",
+        _embedding("english", "id", "vectors"), _embedding("questions", "query_id", "asked"),
+        _topk("vectors"),
+    ) + """
+SELECT h.query_id, h.id, h.score, h.rank, e.text AS txt_chunk, e.source
+FROM hits h JOIN english e ON e.id = h.id""",
     "topk_cosine_sparse": _with(
         CHUNKS, QUESTIONS,
         *[

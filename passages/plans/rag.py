@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passages.functions.text import words
 from passages.functions.vectors import with_value
 from passages.operators.chunking import word_chunks
+from passages.operators.coded import topk_coded
 from passages.operators.embedding import EMBEDDING_DIM, Embedder, embed_chunks, embed_queries
 from passages.operators.joins import join_lookup
 from passages.operators.points import payload_text, point_chunk, point_doc, point_id
 from passages.operators.prompts import chat_request, context_text, rag_messages
 from passages.operators.search import BROADCAST_BYTES, topk_cosine
+from passages.sources.collections import collection_settings, read_collection
 
 CHUNK_SIZE, OVERLAP = 300, 80
 # A hit is an id, a query id, a score and a rank; counted with room for overhead.
@@ -87,6 +89,38 @@ def stored_texts(
     return texts.join(F.broadcast(hits), "id")
 
 
+def search_collection(
+    spark: SparkSession,
+    root: str,
+    name: str,
+    questions: DataFrame,
+    k: int = 3,
+    where: Column | None = None,
+    embedder: Embedder | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """``(query_id, id, score, rank, payload)``: the best points of a collection.
+
+    ``where`` may name any column of the points; on those that the collection is
+    partitioned by, other folders are not read. The collection's own settings say how long
+    its vectors are and whether codes go before them.
+    """
+    settings = collection_settings(spark, root, name)
+    points = read_collection(spark, root, name)
+    if where is not None:
+        points = points.where(where)
+    asked = embed_queries(questions, settings["dim"], embedder=embedder)
+    if settings["coded"]:
+        return topk_coded(asked, points, k, dim=settings["dim"], broadcast_bytes=broadcast_bytes,
+                          keep=("payload",))
+    hits = topk_cosine(asked, points, k, dim=settings["dim"], broadcast_bytes=broadcast_bytes)
+    payloads = points.select("id", "payload")
+    if questions.count() * k * HIT_BYTES > broadcast_bytes:
+        return join_lookup(hits, payloads, "id", ["query_id", "rank"], how="inner").select(
+            *hits.columns, "payload")
+    return payloads.join(F.broadcast(hits), "id").select(*hits.columns, "payload")
+
+
 def rag_prompts(
     documents: DataFrame,
     questions: DataFrame,

@@ -120,3 +120,83 @@ def test_stored_points_of_another_cut_give_their_own_texts(spark):
         bare = rag.rag_prompts(docs, asked, k=1, points=stored.drop("payload"),
                                broadcast_bytes=limit, chunk_size=100, overlap=10)
         assert sorted(map(tuple, bare.collect())) == sorted(map(tuple, found.collect()))
+
+
+def _files(path):
+    import os
+
+    return {os.path.join(folder, f) for folder, _, names in os.walk(path.removeprefix("file:"))
+            for f in names if f.endswith(".parquet")}
+
+
+def test_upsert_of_one_point_writes_one_bucket(spark):
+    root = scratch_path(spark, "collections")
+    points = _points(spark, *[(i, [float(i), 1.0], {"txt_chunk": str(i)}) for i in range(300)])
+    collections.recreate_collection(spark, root, "demo", points, 2, buckets=8)
+    before = _files(root)
+    assert len(before) == 8
+    stored = collections.upsert_collection(
+        spark, root, "demo", _points(spark, (5, [0.0, 9.0], None)))
+    assert len(_files(root) - before) == 1
+    rows = {r.id: r.embedding for r in stored.collect()}
+    assert len(rows) == 300 and rows[5] == [0.0, 9.0] and rows[6] == [6.0, 1.0]
+    assert collections.upsert_collection(spark, root, "demo", points.limit(0)).count() == 300
+    again = collections.compact_collection(spark, root, "demo")
+    assert {r.id: r.embedding for r in again.collect()} == rows
+    folders = {r[0].rsplit("/", 2)[0] for r in again.select(F.input_file_name()).distinct().collect()}
+    assert len(folders) == 1
+
+
+def test_settings_belong_to_the_collection(spark):
+    root = scratch_path(spark, "collections")
+    points = _points(spark, (1, [1.0, 0.0], {}))
+    with pytest.raises(ValueError, match="distance"):
+        collections.recreate_collection(spark, root, "demo", points, 2, distance="dot")
+    collections.recreate_collection(spark, root, "demo", points, 2, buckets=4)
+    assert collections.collection_settings(spark, root, "demo") == {
+        "dim": 2, "distance": "cosine", "buckets": 4, "partition_by": [], "coded": False}
+    with pytest.raises(ValueError, match="2 entries"):
+        collections.upsert_collection(spark, root, "demo", points, 3)
+    with pytest.raises(Exception, match="a point needs"):
+        collections.upsert_collection(spark, root, "demo", _points(spark, (2, [1.0], {})))
+    assert [r.id for r in collections.read_collection(spark, root, "demo").collect()] == [1]
+    empty = collections.recreate_collection(spark, root, "demo", points.limit(0), 2)
+    assert empty.columns == points.columns and empty.count() == 0
+
+
+def test_points_move_between_payload_folders(spark):
+    root = scratch_path(spark, "collections")
+    kind = "id long, embedding array<float>, payload map<string,string>, lang string"
+    points = spark.createDataFrame(
+        [(i, [1.0, float(i)], {"txt_chunk": f"t{i}"}, "en" if i % 3 else None) for i in range(60)], kind)
+    collections.recreate_collection(
+        spark, root, "demo", points, 2, buckets=4, partition_by=("lang",), coded=True)
+    moved = spark.createDataFrame([(i, [2.0, float(i)], {}, "de/x") for i in range(60)], kind)
+    stored = collections.upsert_collection(spark, root, "demo", moved)
+    assert {(r.id, r.lang, tuple(r.embedding)) for r in stored.collect()} == {
+        (i, "de/x", (2.0, float(i))) for i in range(60)}
+
+
+def test_search_reads_only_the_folders_of_its_filter(spark):
+    root = scratch_path(spark, "collections")
+    texts = [(i, "en" if i % 2 else "de", f"w{i} w{i % 7} common") for i in range(80)]
+    chunks = spark.createDataFrame(texts, "id long, lang string, text string")
+    points = embed_chunks(chunks).select("id", "embedding", "lang", F.create_map(
+        F.lit("txt_chunk"), F.col("text"), F.lit("source"), F.col("lang")).alias("payload"))
+    asked = chunks.where("id < 20").select(F.col("id").alias("query_id"), "text")
+    answers = []
+    for coded in (True, False):
+        stored = collections.recreate_collection(
+            spark, root, "demo", points, 64, buckets=4, partition_by=("lang",), coded=coded)
+        plan = stored.where("lang = 'en'").select("id")._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(lang" in plan
+        read = stored.where("lang = 'en'").select(F.input_file_name()).distinct().collect()
+        assert read and all("/lang=en/" in r[0] for r in read)
+        hits = rag.search_collection(
+            spark, root, "demo", asked, k=2, where=F.col("lang") == "en").collect()
+        assert all(r.payload["source"] == "en" for r in hits)
+        answers.append(sorted((r.query_id, r.id, r.score, r["rank"], r.payload["txt_chunk"]) for r in hits))
+    far = rag.search_collection(spark, root, "demo", asked, k=2, where=F.col("lang") == "en",
+                                broadcast_bytes=0).collect()
+    answers.append(sorted((r.query_id, r.id, r.score, r["rank"], r.payload["txt_chunk"]) for r in far))
+    assert answers[0] == answers[1] == answers[2] and len(answers[0]) == 40
