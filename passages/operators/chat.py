@@ -25,11 +25,14 @@ GEMMA_MODELS = (
 
 
 def prompt_family(model: Column | str) -> Column:
+    """Family of a model name. ``7b`` is plain, unless it is written ``gemma-7b``."""
     model = F.col(model) if isinstance(model, str) else model
+    gemma = [name for name in GEMMA_MODELS if name not in PLAIN_MODELS]
     return (
         F.when(model.isin(*OPEN_CHAT_MODELS), "open-chat")
         .when(model.isin(*ZEPHYR_MODELS), "zephyr")
         .when(model.isin(*MISTRAL_MODELS), "mistral")
+        .when(model.isin(*gemma, *[f"gemma-{name}" for name in GEMMA_MODELS]), "gemma")
         .otherwise("plain")
     )
 

@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,6 +85,25 @@ def _hash_words(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray, np.
     return rows, buckets[index], signs[index]
 
 
+def projection_embedder(matrix: np.ndarray, spark: SparkSession, text: str = "text") -> Embedder:
+    """A model to plug in: byte counts of a text times a ``(256, dim)`` matrix.
+
+    The matrix is shipped once to each executor and read once by each worker task.
+    """
+    shared = spark.sparkContext.broadcast(np.asarray(matrix, np.float64))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = shared.value
+        for frame in frames:
+            counts = np.stack([
+                np.bincount(np.frombuffer((t or "").encode(), np.uint8), minlength=256)
+                for t in frame[text]
+            ]) if len(frame) else np.zeros((0, 256))
+            yield frame.assign(embedding=list((counts @ model).astype(np.float32)))
+
+    return run
+
+
 def embed(
     df: DataFrame,
     text: str = "text",

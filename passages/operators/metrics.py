@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import time
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from passages.functions.text import format_size, whole_div
@@ -35,3 +37,24 @@ def throughput(df: DataFrame, by: str, time: str = "ts") -> DataFrame:
         .agg(F.count("*").alias("items"), seconds.alias("seconds"))
         .withColumn("per_second", F.col("items") / F.nullif("seconds", F.lit(0.0)))
     )
+
+
+def counted(df: DataFrame, **counters: Column) -> tuple[DataFrame, Observation]:
+    """``df`` and what a job over it will have seen: ``items``, and an aggregate per name.
+
+    The counters ride along with the job that the rows are for, so nothing is scanned
+    again; ``Observation.get`` waits for the first job over the returned table.
+    """
+    observation = Observation()
+    columns = [c.alias(name) for name, c in counters.items()]
+    return df.observe(observation, F.count(F.lit(1)).alias("items"), *columns), observation
+
+
+def write_counted(df: DataFrame, path: str, **counters: Column) -> dict:
+    """Write ``df`` as Parquet; ``items``, the counters, ``seconds`` and items ``per_second``."""
+    watched, observation = counted(df, **counters)
+    start = time.perf_counter()
+    watched.write.parquet(path)
+    seconds = time.perf_counter() - start
+    seen = observation.get
+    return seen | {"seconds": seconds, "per_second": seen["items"] / seconds}

@@ -21,6 +21,8 @@ CHAT_MODEL = "mixtral-8x7b-32768"
 TEMPERATURE = 0.8
 MAX_TOKENS = 4000
 TOP_P = 1
+# What a server sends after the last chunk of a streamed answer.
+END_MARK = "[DONE]"
 
 
 def _col(value: Column | str) -> Column:
@@ -107,11 +109,11 @@ def fill_context_message(messages: Column | str, context: Column | str, **option
     )
 
 
-def chat_request(messages: Column | str, model: str = CHAT_MODEL) -> Column:
-    """Body of a chat request as JSON text, nulls written out."""
-    body = F.struct(
-        _col(messages).alias("messages"),
-        F.lit(model).alias("model"),
+def chat_request(messages: Column | str, model: str = CHAT_MODEL, minimal: bool = False) -> Column:
+    """Body of a chat request as JSON text, nulls written out; ``minimal`` has no settings."""
+    asked = [_col(messages).alias("messages"), F.lit(model).alias("model")]
+    body = F.struct(*asked) if minimal else F.struct(
+        *asked,
         F.lit(TEMPERATURE).alias("temperature"),
         F.lit(MAX_TOKENS).alias("max_tokens"),
         F.lit(TOP_P).alias("top_p"),
@@ -156,6 +158,12 @@ def delta_text(body: Column | str) -> Column:
     return _string_at(F.try_parse_json(body), "$.choices[0].delta.content")
 
 
+def answer_ends(body: Column | str) -> Column:
+    """Whether a chunk is the last of a streamed answer: a reason to finish, or the end mark."""
+    reason = _string_at(F.try_parse_json(body), "$.choices[0].finish_reason")
+    return F.coalesce(reason.isNotNull() | (F.trim(body) == END_MARK), F.lit(False))
+
+
 def stream_deltas(
     df: DataFrame, key: str, position: str, body: str = "body"
 ) -> DataFrame:

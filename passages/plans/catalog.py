@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,10 +62,13 @@ def _vectors(spark: SparkSession, sf: str) -> DataFrame:
     return spread(_table(spark, sf, "embeddings"), "vec_id")
 
 
-def _with_model(df: DataFrame) -> DataFrame:
+MODELS = ("7b-open-chat-3.5", "7b-zephyr-b", "mixtral", "7b-chat")
+
+
+def _with_model(df: DataFrame, names: tuple[str, ...] = MODELS) -> DataFrame:
     """Give each conversation a model, one of every prompt family."""
-    models = F.array(*[F.lit(m) for m in ("7b-open-chat-3.5", "7b-zephyr-b", "mixtral", "7b-chat")])
-    return df.withColumn("model", F.element_at(models, (F.col("conv_id") % 4 + 1).cast("int")))
+    models = F.array(*map(F.lit, names))
+    return df.withColumn("model", F.element_at(models, (F.col("conv_id") % len(names) + 1).cast("int")))
 
 
 def _joined(array: Column | str) -> Column:
@@ -350,7 +354,7 @@ def fit_context(spark, sf):
 
 @query
 def cut_at_eos(spark, sf):
-    turns = _with_model(_turns(spark, sf, "assistant"))
+    turns = _with_model(_turns(spark, sf, "assistant"), (*MODELS, "2b-it"))
     family = chat.prompt_family("model")
     ended = F.replace("text", F.lit("."), F.concat(F.lit(" "), chat.eos_token(family)))
     split = turns.select(
@@ -371,6 +375,17 @@ def embed_chunks(spark, sf):
     return vectors.select("doc_id", _long("chunk_no"), _whole("embedding").alias("embedding"))
 
 
+@query
+def embed_with_model(spark, sf):
+    """Vectors of a plugged-in model: counts of the letters a to z by a fixed matrix."""
+    matrix = np.zeros((256, 16))
+    letters = np.arange(26)[:, None]
+    matrix[97:123] = (letters * 7 + np.arange(16) * 13) % 11 - 5
+    model = embedding.projection_embedder(matrix, spark)
+    vectors = embedding.embed_chunks(_chunks(spark, sf), 16, embedder=model)
+    return vectors.select("doc_id", _long("chunk_no"), _whole("embedding").alias("embedding"))
+
+
 @query
 def window_vectors(spark, sf):
     docs = _documents(spark, sf)
@@ -519,6 +534,19 @@ def chat_request(spark, sf):
     return _questions(spark, sf).select("query_id", body.alias("body"))
 
 
+@query
+def minimal_request(spark, sf):
+    """Messages and model only, with the texts of a benchmark item as payloads."""
+    placeholder = "{{payloads}}"
+    system = prompts.fill_template(
+        F.lit(f"Excerpts: {placeholder} Answer from them."), "text", placeholder=placeholder)
+    messages = F.array(
+        prompts.message("system", F.lit("Answer truthfully.")), prompts.message("user", "text"),
+        prompts.message("system", system))
+    return _table(spark, sf, "benchmark").select(
+        "item_id", prompts.chat_request(messages, minimal=True).alias("body"))
+
+
 @query
 def chat_response(spark, sf):
     """Responses of several choices: every turn of a role, one without content."""
@@ -632,6 +660,21 @@ def assemble_text_stream(spark, sf):
     return spark.read.parquet(target)
 
 
+@query
+def stream_deltas_stream(spark, sf):
+    """The chunks of the answers as they come, in batches that cut through answers."""
+    source, target = scratch_path(spark, "deltas"), scratch_path(spark, "answers")
+    chunks = _deltas(spark, sf).withColumn("pos", F.col("pos") + 1)
+    last = chunks.groupBy("seq_id").agg((F.max("pos") + 1).alias("pos"))
+    end = F.lit('{"choices":[{"delta":{},"finish_reason":"stop"}]}')
+    chunks.unionByName(last.withColumn("body", end)).write.parquet(source)
+    stream = spark.readStream.schema(chunks.schema).option("maxFilesPerTrigger", 3).parquet(source)
+    assemble.stream_deltas_stream(stream).writeStream.format("parquet").option(
+        "checkpointLocation", scratch_path(spark, "progress")
+    ).trigger(availableNow=True).start(target).awaitTermination()
+    return spark.read.parquet(target)
+
+
 @query
 def ingest_stream(spark, sf):
     schema = _table(spark, sf, "documents").schema
@@ -673,6 +716,18 @@ def throughput(spark, sf):
     )
 
 
+@query
+def job_counters(spark, sf):
+    """What one job saw at two places on its way, counted while it wrote the chunks."""
+    docs, seen = metrics.counted(_documents(spark, sf), letters=F.sum(F.char_length("text")))
+    chunks = chunking.word_chunks(docs)
+    written = metrics.write_counted(
+        chunks, scratch_path(spark, "chunks"), letters=F.sum(F.char_length("text")))
+    found = [("documents", seen.get["items"], seen.get["letters"]),
+             ("chunks", written["items"], written["letters"])]
+    return spark.createDataFrame(found, "place string, items bigint, letters bigint")
+
+
 @query
 def rag_prompts(spark, sf):
     return rag.rag_prompts(_documents(spark, sf), _questions(spark, sf))

@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from passages.operators import prompts
+# Fixed values, stated here a second time so that the SQL does not follow the code.
+CHAT_MODEL = "mixtral-8x7b-32768"
+SYSTEM_TEXT = (
+    "You are a highly advanced assistant. You receive a prompt from a user and relevant "
+    "excerpts extracted from a text document. You then answer truthfully to the best of "
+    "your ability. If you do not know the answer, your response is I don't know."
+)
+BEFORE_EXCERPTS = (
+    "Based on the retrieved information from the document, here are the relevant excerpts:"
+)
+AFTER_EXCERPTS = (
+    "Please provide a comprehensive answer to the user's question, integrating insights from "
+    "these excerpts and your general knowledge."
+)
 
 WS = r"[\s\x0B\x{85}\p{Z}]+"
 
@@ -147,16 +160,15 @@ def _message(role: str, content: str) -> str:
 def _request(messages: list[str]) -> str:
     listed = " || ',' || ".join(messages)
     return (
-        f"""'{{"messages":[' || {listed} || '],"model":"{prompts.CHAT_MODEL}",'"""
+        f"""'{{"messages":[' || {listed} || '],"model":"{CHAT_MODEL}",'"""
         f""" || '"temperature":0.8,"max_tokens":4000,"top_p":1,"stop":null,"stream":false}}'"""
     )
 
 
 def _rag_messages(question: str, context: str) -> list[str]:
-    head, tail = prompts.CONTEXT_TEXT.split(prompts.PLACEHOLDER)
-    filled = f"{_quote(head)} || {context} || {_quote(tail)}"
+    filled = f"{_quote(BEFORE_EXCERPTS)} || {context} || {_quote(AFTER_EXCERPTS)}"
     return [
-        _message("system", _quote(prompts.SYSTEM_TEXT)),
+        _message("system", _quote(SYSTEM_TEXT)),
         _message("user", question),
         _message("system", f"({filled})"),
     ]
@@ -173,8 +185,6 @@ def _size(size: str) -> str:
       ELSE {scaled(1_000_000_000, 'GB')} END"""
 
 
-_HEAD, _TAIL = prompts.CONTEXT_TEXT.split(prompts.PLACEHOLDER)
-
 ORACLES: dict[str, str] = {
     "read_documents": "SELECT doc_id, text, source FROM documents",
     "source_name": r"""
@@ -288,7 +298,8 @@ SELECT doc_id,
 FROM s""",
     "cut_at_eos": f"""
 WITH m AS (
-  SELECT conv_id, turn, text, CASE WHEN conv_id % 4 = 0 THEN '<|end_of_turn|>' ELSE '</s>' END AS eos
+  SELECT conv_id, turn, text, CASE conv_id % 5 WHEN 0 THEN '<|end_of_turn|>' WHEN 4 THEN '<eos>'
+    ELSE '</s>' END AS eos
   FROM conversations WHERE role = 'assistant'),
 t AS (SELECT conv_id, turn, eos, {_words("replace(text, '.', ' ' || eos)")} AS w FROM m)
 SELECT conv_id, turn, array_to_string(
@@ -298,6 +309,15 @@ FROM t""",
 SELECT c.doc_id, c.chunk_no,
   array_to_string(list_transform(v.e, lambda x: x::INTEGER), ' ') AS embedding
 FROM chunks c JOIN vectors v ON v.id = c.id""",
+    "embed_with_model": _with(CHUNKS, """
+counts AS (
+  SELECT doc_id, chunk_no, i, length(text) - length(replace(text, chr((97 + i)::INTEGER), '')) AS n
+  FROM chunks, (SELECT unnest(range(26)) AS i)),
+sums AS (
+  SELECT doc_id, chunk_no, j, sum(n * ((i * 7 + j * 13) % 11 - 5))::BIGINT AS v
+  FROM counts, (SELECT unnest(range(16)) AS j) GROUP BY ALL)""") + """
+SELECT doc_id, chunk_no, string_agg(v::VARCHAR, ' ' ORDER BY j) AS embedding
+FROM sums GROUP BY doc_id, chunk_no""",
     "window_vectors": _with(
         _vocab("documents"), _encoded("documents", "doc_id"),
         """
@@ -402,18 +422,25 @@ FROM (SELECT DISTINCT conv_id AS query_id FROM conversations) q LEFT JOIN (
   SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS context
   FROM conversations WHERE role = 'assistant' GROUP BY conv_id) h ON h.conv_id = q.query_id""",
     "fill_template": f"""
-SELECT item_id, {_quote(_HEAD)} || text || {_quote(_TAIL)} AS filled,
-  {_quote(_HEAD)} || text || {_quote(_TAIL[1:])} AS legacy, NULL::VARCHAR AS missing
+SELECT item_id, {_quote(BEFORE_EXCERPTS)} || text || {_quote(AFTER_EXCERPTS)} AS filled,
+  {_quote(BEFORE_EXCERPTS)} || text || {_quote(AFTER_EXCERPTS[1:])} AS legacy, NULL::VARCHAR AS missing
 FROM benchmark""",
     "set_user_message": _with(QUESTIONS) + """
 SELECT query_id, 'system' AS first_role, 'user' AS role, text AS content FROM questions""",
     "chat_request": _with(QUESTIONS)
     + f"SELECT query_id, {_request(_rag_messages('text', _quote('excerpt')))} AS body FROM questions",
+    "minimal_request": f"""
+SELECT item_id, '{{"messages":[' || {_message('system', "'Answer truthfully.'")} || ','
+  || {_message('user', 'text')} || ','
+  || {_message('system', "('Excerpts: ' || text || ' Answer from them.')")}
+  || '],"model":"{CHAT_MODEL}"}}' AS body FROM benchmark""",
     "chat_response": """
 SELECT conv_id, turn, 0::BIGINT AS choice, text AS content FROM conversations WHERE role <> 'system'
 UNION ALL
 SELECT conv_id, turn, 1, 'second' FROM conversations WHERE role <> 'system'""",
     "stream_deltas": _with(PIECES) + """
+SELECT seq_id, string_agg(piece, '' ORDER BY pos) AS text FROM pieces GROUP BY seq_id""",
+    "stream_deltas_stream": _with(PIECES) + """
 SELECT seq_id, string_agg(piece, '' ORDER BY pos) AS text FROM pieces GROUP BY seq_id""",
     "validate_structured": "SELECT conv_id, turn, role = 'user' AS is_valid FROM conversations",
     "format_chat_turn": _with(FORMATTED) + "SELECT conv_id, turn, model, prompt FROM formatted",
@@ -469,6 +496,9 @@ SELECT event_type, count(*) AS items,
   round(date_diff('microsecond', min(ts), max(ts)) / 1e6, 3) AS seconds,
   round(count(*) / nullif(date_diff('microsecond', min(ts), max(ts)) / 1e6, 0), 6) AS per_second
 FROM events GROUP BY event_type""",
+    "job_counters": _with(CHUNKS) + """
+SELECT 'documents' AS place, count(*) AS items, sum(length(text))::BIGINT AS letters FROM documents
+UNION ALL SELECT 'chunks', count(*), sum(length(text))::BIGINT FROM chunks""",
     "rag_prompts": _with(
         CHUNKS, QUESTIONS, _embedding("chunks", "id", "vectors"),
         _embedding("questions", "query_id", "asked"), _topk("vectors"),

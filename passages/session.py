@@ -52,6 +52,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def folder_names(spark: SparkSession, path: str, done: bool = False) -> list[str]:
+    """Names of the folders at ``path``, with ``done`` of those that Spark wrote to their end.
+
+    There are none if there is no such path.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
+    found = [s.getPath() for s in system.listStatus(folder) if s.isDirectory()]
+    return [p.getName() for p in found if not done or system.exists(hadoop.Path(p, "_SUCCESS"))]
+
+
 # Writers close a row group, the least a task can read, at about this size.
 ROW_GROUP_BYTES = 128 << 20
 

@@ -17,24 +17,15 @@ from pyspark.sql import types as T
 
 from passages.operators.coded import code_points
 from passages.operators.points import upsert_points
-from passages.session import scratch_path
+from passages.session import folder_names, scratch_path
 
 BUCKETS = 64
 CODE_COLUMNS = ("code", "error")
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders at ``path``; none if there is no such path."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not system.exists(folder):
-        return []
-    return [s.getPath().getName() for s in system.listStatus(folder) if s.isDirectory()]
-
-
 def _versions(spark: SparkSession, path: str) -> dict[int, dict]:
     """The settings of every version that was written to its end."""
-    if not _names(spark, f"{path}/settings"):
+    if not folder_names(spark, f"{path}/settings"):
         return {}
     rows = spark.read.schema("value string, version int").text(f"{path}/settings").collect()
     return {r.version: json.loads(r.value) for r in rows}
@@ -46,7 +37,7 @@ def _held(spark: SparkSession, path: str, versions: dict[int, dict]) -> dict[int
     held: dict[int, int] = {}
     for version in range(versions[latest]["base"], latest + 1):
         if version in versions:
-            for name in _names(spark, f"{path}/points/version={version}"):
+            for name in folder_names(spark, f"{path}/points/version={version}"):
                 held[int(name.removeprefix("bucket="))] = version
     return held
 
@@ -129,7 +120,7 @@ def read_collection(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 def list_collections(spark: SparkSession, root: str) -> DataFrame:
     """``(name)``: the stored collections. No point is read."""
-    names = [n for n in sorted(_names(spark, root)) if _versions(spark, f"{root}/{n}")]
+    names = [n for n in sorted(folder_names(spark, root)) if _versions(spark, f"{root}/{n}")]
     return spark.createDataFrame([(n,) for n in names], "name string")
 
 

@@ -1,75 +1,164 @@
-"""Text assembly over an unbounded stream of token pieces."""
+"""Ordered text from an unbounded stream of pieces: token pieces, and chunks of answers."""
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from passages.functions.text import ALPHANUMERIC_END
+from passages.operators.prompts import answer_ends, delta_text
 
 OUTPUT = "seq_id bigint, emit_no bigint, text string"
-STATE = "held string, next_pos bigint, emit_no bigint, waiting string"
+STATE = "held string, due bigint, emit_no bigint, waiting bigint"
+PIECE = "piece string, ends boolean, is_last boolean"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+def keep_state_in_rocksdb(spark: SparkSession) -> None:
+    """Map states and timers need this store; queries already running keep theirs."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
-def assemble_text_stream(pieces: DataFrame, timeout_ms: int | None = None) -> DataFrame:
+
+class Assembler(StatefulProcessor):
+    """Puts the pieces of each sequence in order and releases text, see below.
+
+    One value holds the text not yet released and the next position; each piece that came
+    early is an entry of a map, read and removed when its turn comes. So a batch costs
+    what it brings and releases, however much waits behind a gap.
+    """
+
+    def __init__(self, whole: bool, timeout_ms: int | None, remembered_ms: int | None):
+        self.whole, self.timeout_ms, self.remembered_ms = whole, timeout_ms, remembered_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getValueState("open", STATE)
+        self.early = handle.getMapState("early", "pos bigint", PIECE)
+        lifetime = () if self.remembered_ms is None else (self.remembered_ms,)
+        self.ended = handle.getValueState("ended", "ended boolean", *lifetime)
+
+    def close(self) -> None:
+        pass
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        if self.ended.exists():
+            return
+        held, due, emit_no, waiting = self.open.get() if self.open.exists() else ("", 0, 0, 0)
+        arrived: dict[int, tuple] = {}
+        for frame in rows:
+            for pos, *piece in zip(frame["pos"], frame["piece"], frame["ends"], frame["is_last"]):
+                if pos >= due:
+                    arrived.setdefault(int(pos), (piece[0], bool(piece[1]), bool(piece[2])))
+        out: list[str] = []
+        finished = False
+        while not finished:
+            if waiting and self.early.containsKey((due,)):
+                # The first of equal positions counts.
+                piece, ends, finished = self.early.getValue((due,))
+                self.early.removeKey((due,))
+                arrived.pop(due, None)
+                waiting -= 1
+            elif due in arrived:
+                piece, ends, finished = arrived.pop(due)
+            else:
+                break
+            due, held = due + 1, held + piece
+            if (held or self.whole) and (finished or ends and not self.whole):
+                out.append(held)
+                held = ""
+        if finished:
+            yield from self._end(key, emit_no, out)
+            return
+        for pos, piece in arrived.items():
+            if not self.early.containsKey((pos,)):
+                self.early.updateValue((pos,), piece)
+                waiting += 1
+        self.open.update((held, due, emit_no + len(out), waiting))
+        if self.timeout_ms is not None:
+            self._drop_timers()
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms)
+        yield from self._rows(key, emit_no, out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """What waits behind a gap is released in order, as if the gap were empty."""
+        if not self.open.exists():
+            return
+        held, _, emit_no, _ = self.open.get()
+        out = []
+        for _, (piece, ends, _) in sorted((k[0], v) for k, v in self.early.iterator()):
+            held += piece
+            if held and ends and not self.whole:
+                out.append(held)
+                held = ""
+        yield from self._end(key, emit_no, out + [held] * bool(held))
+
+    def _end(self, key, emit_no: int, out: list[str]) -> Iterator[pd.DataFrame]:
+        self.open.clear()
+        self.early.clear()
+        self._drop_timers()
+        self.ended.update((True,))
+        yield from self._rows(key, emit_no, out)
+
+    def _drop_timers(self) -> None:
+        if self.timeout_ms is not None:
+            for at in list(self.handle.listTimers()):
+                self.handle.deleteTimer(at)
+
+    def _rows(self, key, emit_no: int, out: list[str]) -> Iterator[pd.DataFrame]:
+        if out:
+            yield pd.DataFrame(
+                {"seq_id": key[0], "emit_no": range(emit_no, emit_no + len(out)), "text": out})
+
+
+def _assembled(
+    flagged: DataFrame, whole: bool, timeout_ms: int | None, remembered_ms: int | None
+) -> DataFrame:
+    keep_state_in_rocksdb(flagged.sparkSession)
+    # With a clock Spark runs batches without data for ever, also where the input ends.
+    clock = timeout_ms is not None or remembered_ms is not None
+    return flagged.groupBy("seq_id").transformWithStateInPandas(
+        statefulProcessor=Assembler(whole, timeout_ms, remembered_ms), outputStructType=OUTPUT,
+        outputMode="Append", timeMode="ProcessingTime" if clock else "None",
+    )
+
+
+def assemble_text_stream(
+    pieces: DataFrame, timeout_ms: int | None = None, remembered_ms: int | None = None
+) -> DataFrame:
     """``(seq_id, emit_no, text)`` from a stream ``(seq_id, pos, piece, is_last)``.
 
     Equals ``assemble_text`` of the same pieces whatever the micro-batches are.
     Positions count from 0; a piece that arrives early waits in the state, one that
     was seen before is dropped. The row with ``is_last`` releases the rest and ends
-    the sequence; with ``timeout_ms`` so does that time without input, pieces that wait included. The state of an
-    ended sequence is removed.
+    the sequence; with ``timeout_ms`` so does that time without input, pieces that wait
+    included. Pieces of a sequence that come again after its end give nothing; with
+    ``remembered_ms`` its end is forgotten after that time, and nothing of it is left. The
+    two times are for streams that run on: with ``availableNow`` such a query does not end.
+    State is kept in RocksDB.
     """
     flagged = pieces.select(
-        "seq_id", "pos", F.coalesce("piece", F.lit("")).alias("piece"), "is_last",
+        "seq_id", "pos", F.coalesce("piece", F.lit("")).alias("piece"),
         F.coalesce(F.col("piece").rlike(ALPHANUMERIC_END), F.lit(False)).alias("ends"),
+        F.coalesce("is_last", F.lit(False)).alias("is_last"),
     )
+    return _assembled(flagged, False, timeout_ms, remembered_ms)
 
-    def step(
-        key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        held, due, emit_no, waiting = state.get if state.exists else ("", 0, 0, "{}")
-        early = json.loads(waiting)
-        out: list[str] = []
-        finished = False
-        if state.hasTimedOut:
-            # What waits behind a gap is released in order, as if the gap were empty.
-            for pos in sorted(early, key=int):
-                piece, ends, _ = early[pos]
-                held += piece
-                if held and ends:
-                    out.append(held)
-                    held = ""
-            out, finished = out + ([held] if held else []), True
-        else:
-            for frame in frames:
-                for row in zip(frame["pos"], frame["piece"], frame["ends"], frame["is_last"]):
-                    if row[0] >= due:
-                        early[str(row[0])] = [row[1], bool(row[2]), bool(row[3])]
-                while not finished and str(due) in early:
-                    piece, ends, finished = early.pop(str(due))
-                    due, held = due + 1, held + piece
-                    if held and (ends or finished):
-                        out.append(held)
-                        held = ""
-        if finished:
-            state.remove()
-        else:
-            state.update((held, due, emit_no + len(out), json.dumps(early)))
-            if timeout_ms is not None:
-                state.setTimeoutDuration(timeout_ms)
-        if out:
-            yield pd.DataFrame(
-                {"seq_id": key[0], "emit_no": range(emit_no, emit_no + len(out)), "text": out}
-            )
 
-    timeout = (
-        GroupStateTimeout.NoTimeout if timeout_ms is None
-        else GroupStateTimeout.ProcessingTimeTimeout
+def stream_deltas_stream(
+    chunks: DataFrame, timeout_ms: int | None = None, remembered_ms: int | None = None
+) -> DataFrame:
+    """``(seq_id, text)`` from a stream ``(seq_id, pos, body)``: each answer when it is whole.
+
+    Equals ``stream_deltas`` of the same chunks whatever the micro-batches are: the text of
+    the first choice, in the order of positions from 0. The chunk that names a reason to
+    finish, or the end mark of the protocol, ends an answer; with ``timeout_ms`` so does
+    that time without input.
+    """
+    flagged = chunks.select(
+        "seq_id", "pos", F.coalesce(delta_text("body"), F.lit("")).alias("piece"),
+        F.lit(False).alias("ends"), answer_ends("body").alias("is_last"),
     )
-    return flagged.groupBy("seq_id").applyInPandasWithState(step, OUTPUT, STATE, "append", timeout)
+    return _assembled(flagged, True, timeout_ms, remembered_ms).select("seq_id", "text")

@@ -120,3 +120,176 @@ def test_ingest_restart_and_update(spark):
     batch = document_points(spark.createDataFrame([(3, "changed", "t")], schema)).first()
     stored = [r for r in latest_points(spark, target).collect() if r.id == batch.id][0]
     assert stored.embedding == batch.embedding and stored.payload == batch.payload
+
+
+def _run(spark, parts, schema, make):
+    source, target = scratch_path(spark, "pieces"), scratch_path(spark, "out")
+    progress = scratch_path(spark, "progress")
+    for part in parts:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    make(stream).writeStream.format("parquet").option("checkpointLocation", progress).trigger(
+        availableNow=True).start(target).awaitTermination()
+    return sorted(map(tuple, spark.read.parquet(target).collect()))
+
+
+def test_an_ended_sequence_does_not_start_again(spark):
+    parts = [[(1, 0, "a", False), (1, 1, " b", True), (2, 1, "y", True)], [(1, 0, "a", False)],
+             [(1, 1, " b", True), (1, 2, "c", False), (2, 0, "x", False), (2, 1, "z", True)]]
+    found = _run(spark, parts, "seq_id long, pos long, piece string, is_last boolean", assemble_text_stream)
+    assert found == [(1, 0, "a"), (1, 1, " b"), (2, 0, "x"), (2, 1, "y")]
+
+
+class _Cell:
+    def __init__(self):
+        self.value, self.calls = None, 0
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+
+class _Map(dict):
+    calls = 0
+
+    def containsKey(self, key):
+        self.calls += 1
+        return key in self
+
+    def getValue(self, key):
+        self.calls += 1
+        return self[key]
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self[key] = value
+
+    def removeKey(self, key):
+        self.calls += 1
+        del self[key]
+
+    def iterator(self):
+        return iter(self.items())
+
+
+class _Handle:
+    def __init__(self):
+        self.map, self.timers = _Map(), []
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def listTimers(self):
+        return iter(self.timers)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+    def getValueState(self, *_):
+        return _Cell()
+
+    def getMapState(self, *_):
+        return self.map
+
+
+class _Clock:
+    def getCurrentProcessingTimeInMs(self):
+        return 5
+
+
+@pytest.mark.parametrize("pieces", [100, 400])
+def test_a_gap_costs_a_few_state_calls_a_piece(pieces):
+    """Piece 0 comes last, one piece a batch: no batch reads what waits."""
+    import pandas as pd
+
+    from passages.streaming.assemble import Assembler
+
+    handle, found = _Handle(), []
+    work = Assembler(False, None, 1000)
+    work.init(handle)
+    for pos in [*range(1, pieces), 0]:
+        frame = pd.DataFrame([(pos, f"w{pos} ", True, pos == pieces - 1)],
+                             columns=["pos", "piece", "ends", "is_last"])
+        for out in work.handleInputRows((7,), iter([frame]), _Clock()):
+            found += out["text"].tolist()
+    assert found == [f"w{i} " for i in range(pieces)] and not handle.map
+    assert handle.map.calls <= 6 * pieces
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_deltas_equal_the_batch_for_any_split(spark, seed):
+    import json
+
+    from passages.operators.prompts import stream_deltas
+    from passages.streaming.assemble import stream_deltas_stream
+
+    rng, rows = random.Random(seed), []
+    for s, pieces in _sequences(seed, count=9, longest=20).items():
+        bodies = [json.dumps({"choices": [{"delta": {"content": p}}, {"delta": {"content": "other"}}]})
+                  for p in pieces]
+        bodies[0:0] = ['{"choices":[{"delta":{"role":"assistant"}}]}']
+        bodies.append("[DONE]" if s % 2 else '{"choices":[{"delta":{"content":"!"},"finish_reason":"stop"}]}')
+        rows += [(s, n, b) for n, b in enumerate(bodies)]
+    rows += [(99, 0, "no json"), (99, 1, None), (99, 2, "[DONE]")]
+    schema = "seq_id long, pos long, body string"
+    batch = stream_deltas(spark.createDataFrame(rows, schema), "seq_id", "pos")
+    rng.shuffle(rows)
+    parts = [rows[i:i + 40] for i in range(0, len(rows), 40)]
+    found = _run(spark, parts + [rows[:10]], schema, stream_deltas_stream)
+    assert found == sorted((r.seq_id, r.text or "") for r in batch.collect())
+
+
+def test_shrunk_documents_lose_their_old_chunks(spark):
+    from passages.streaming.ingest import compact_points
+
+    source, target = scratch_path(spark, "docs"), scratch_path(spark, "points")
+    progress = scratch_path(spark, "progress")
+    schema = "doc_id long, text string, source string"
+
+    def arrive(*rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+        ingest_stream(stream, target, progress).awaitTermination()
+
+    def ids(points=None):
+        rows = (points or latest_points(spark, target)).select("id").collect()
+        return sorted((r.id >> 20, r.id & ((1 << 20) - 1)) for r in rows)
+
+    long = " ".join(f"w{i}" for i in range(700))
+    arrive((1, long, "s"), (2, long, "s"), (None, long, "s"))
+    assert ids() == [(1, 0), (1, 1), (1, 2), (2, 0), (2, 1), (2, 2)]
+    arrive((1, "short", "s"), (1, "a", "s"))
+    assert ids() == [(1, 0), (2, 0), (2, 1), (2, 2)]
+    compacted = compact_points(spark, target)
+    files = {r[0] for r in compacted.select(F.input_file_name()).distinct().collect()}
+    assert ids(compacted) == [(1, 0), (2, 0), (2, 1), (2, 2)] and all("/compacted/" in f for f in files)
+    arrive((2, None, "s"), (3, "new", "s"))
+    assert ids() == ids(compact_points(spark, target)) == [(1, 0), (3, 0)]
+
+
+def test_a_timer_releases_what_waits_and_ends_the_sequence():
+    import pandas as pd
+
+    from passages.streaming.assemble import Assembler
+
+    handle = _Handle()
+    work = Assembler(False, 100, None)
+    work.init(handle)
+
+    def arrive(*rows):
+        frame = pd.DataFrame(rows, columns=["pos", "piece", "ends", "is_last"])
+        return [t for out in work.handleInputRows((7,), iter([frame]), _Clock()) for t in out["text"]]
+
+    assert arrive((0, "a", True, False), (1, ",", False, False), (12, " z", True, False)) == ["a"]
+    assert arrive((5, " b", True, False), (6, "!", False, False)) == [] and handle.timers == [105]
+    released = [t for out in work.handleExpiredTimer((7,), _Clock(), None) for t in out["text"]]
+    assert released == [", b", "! z"] and handle.timers == []
+    assert arrive((2, "late", True, True)) == []
