@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from passages.functions import text as tx
 from passages.functions import vectors as vec
 from passages.operators import (
-    assembly, chat, chunking, coded, embedding, metrics, pairs, points, prompts, search, tokens,
+    assembly, chat, chunking, coded, embedding, metrics, neighbours, pairs, points, prompts, search,
+    tokens,
 )
 from passages.operators.joins import join_lookup
 from passages.plans import chats, rag, ranking, windows
@@ -477,6 +478,11 @@ def pairwise_similarity(spark, sf):
     return pairs.pairwise_similarity(_vectors(spark, sf), id="vec_id")
 
 
+@query
+def similar_pairs_approx(spark, sf):
+    return neighbours.similar_pairs_approx(_table(spark, sf, "embeddings"), 0.4, id="vec_id")
+
+
 @query
 def similar_texts(spark, sf):
     return ranking.similar_texts(_table(spark, sf, "benchmark"))

@@ -397,6 +397,21 @@ SELECT a.vec_id AS i, b.vec_id AS j,
 FROM (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings) a
 JOIN (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings) b ON a.vec_id < b.vec_id
 ORDER BY score DESC, i, j LIMIT 5""",
+    # Exact where the table fits one bucket; beyond, links may be missing.
+    "similar_pairs_approx": """
+WITH e AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+), c AS (
+  SELECT min(vec_id) AS class_id, e, list_dot_product(e, e) AS n FROM e GROUP BY e
+), l AS (
+  SELECT a.class_id, count(*) AS links FROM c a JOIN c b
+    ON a.class_id <> b.class_id AND a.n > 0 AND b.n > 0
+    AND round(list_dot_product(a.e, b.e) / sqrt(a.n * b.n), 6) >= 0.4
+  GROUP BY a.class_id
+)
+SELECT e.vec_id AS id, c.class_id, coalesce(l.links, 0) AS links
+FROM e JOIN c USING (e) LEFT JOIN l USING (class_id)""",
     "similar_texts": _with(_embedding("benchmark", "item_id", "vectors")) + """
 SELECT i, j, score, a.text AS text_i, b.text AS text_j FROM (
   SELECT x.item_id AS i, y.item_id AS j,
