@@ -9,7 +9,6 @@ from passages.llm.common import small, store
 
 # Tables of labels of at most so many rows are shipped; beyond, joins are shuffled.
 SHIPPED_ROWS = 250_000
-JUMPS = 2
 
 
 def follow(table: DataFrame, column: str, parents: DataFrame) -> DataFrame:
@@ -25,7 +24,8 @@ def components(edges: DataFrame) -> DataFrame:
     """``(node, component)``: the smallest id reachable from each node of ``(a, b)``.
 
     In a round every node hooks to its smallest neighbour, if that is smaller than itself;
-    chains of hooks are shortened; edges then join components, and those inside one go.
+    parents become their parents' parents until all are roots, so a chain of ``n`` hooks takes
+    ``log2(n)`` jumps; edges then join components, and those inside one go.
     Minima are combined before the shuffle. Tables of parents are shipped while small and
     else joined by shuffles, whose skewed keys adaptive execution splits. Each round goes
     on from files. An empty table has no nodes.
@@ -37,11 +37,14 @@ def components(edges: DataFrame) -> DataFrame:
         hooks = store(
             both.groupBy("node").agg(F.least(F.min("other"), "node").alias("component")), "hooks"
         )
-        moved = small(hooks.where("component < node"), SHIPPED_ROWS)
         parents = hooks
-        for _ in range(JUMPS):
-            parents = follow(parents, "component", moved)
-        parents = store(parents, "parents")
+        while True:  # each jump doubles the steps, until all have reached a root
+            moved = small(parents.where("component < node"), SHIPPED_ROWS)
+            jumped = follow(parents.withColumn("before", F.col("component")), "component", moved)
+            jumped = store(jumped, "parents")
+            parents = jumped.select("node", "component")
+            if jumped.where("component < before").isEmpty():
+                break
         shipped = small(parents, SHIPPED_ROWS)
         labels = parents if labels is None else store(
             follow(labels, "component", shipped), "labels"
