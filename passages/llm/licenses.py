@@ -36,7 +36,9 @@ MORE_PHRASES = {
     "all rights reserved": "reserved",
 }
 TAG = "spdx license identifier"
-PERMISSIVE = re.compile(r"(mit|apache|bsd|isc|cc0|cc-by-\d|zlib|unlicense|0bsd|public-domain)")
+PERMISSIVE = re.compile(
+    r"(?:mit|apache|bsd|isc|cc0|cc-by(?=-\d)|zlib|unlicense|0bsd|public-domain)(?![a-z0-9])"
+)
 # What a reader sees of a phrase, a tag counting for more: the score's halvings.
 PHRASE_WEIGHT, TAG_WEIGHT = 1, 3
 
@@ -44,7 +46,7 @@ _keep = re.compile(rb"[0-9a-z\x80-\xff]")
 WORD_BYTES = bytes(
     c if _keep.match(bytes([c])) else 32 for c in bytes(range(256)).lower()
 )
-_tag_text = re.compile(r"spdx-license-identifier:[^\S\n]*([^\n]*)", re.I | re.A)
+_after_tag = re.compile(rb"[^\S\n]*:[^\S\n]*([^\n]*)")
 _token = re.compile(r"\s*(\(|\)|[A-Za-z0-9][A-Za-z0-9.+:-]*)")
 BINDS = {"with": 3, "and": 2, "or": 1}
 
@@ -60,7 +62,7 @@ def automaton() -> ahocorasick.Automaton:
 
 def _apply(operator: str, right: tuple, left: tuple) -> tuple:
     if operator == "with":  # the exception only adds permissions to the license
-        return ([f"{left[0][0]} with {right[0][0]}"], left[1])
+        return ([f"{name} with {added}" for name in left[0] for added in right[0]], left[1])
     free = left[1] and right[1] if operator == "and" else left[1] or right[1]
     return (left[0] + right[0], free)
 
@@ -114,7 +116,9 @@ def parse_expression(text: str) -> tuple[list[str], bool]:
 
 def scan_text(text: str) -> dict:
     """Places, labels and score of one text."""
-    words = text.encode().translate(WORD_BYTES).split()
+    data = text.encode()
+    spaced = data.translate(WORD_BYTES)
+    words = spaced.split()
     joined = " " + b" ".join(words).decode("latin-1") + " "
     hits = list(automaton().iter(joined))
     out = {
@@ -124,21 +128,28 @@ def scan_text(text: str) -> dict:
     if not hits:
         return out
     gaps = np.flatnonzero(np.frombuffer(joined.encode("latin-1"), np.uint8) == 32)
-    base, labels, starts, weight, free = set(), set(), [], 0, []
+    base, labels, starts, tags, weight, free = set(), set(), [], [], 0, []
     for end, (phrase, label) in hits:
+        start = int(np.searchsorted(gaps, end - len(phrase) - 1))
         if phrase in BASE_PHRASES:
             base.add(label)
-            starts.append(int(np.searchsorted(gaps, end - len(phrase) - 1)))
+            starts.append(start)
+        if phrase == TAG:
+            tags.append(start + len(TAG.split()) - 1)
         if label:
             labels.add(label)
             free.append(bool(PERMISSIVE.match(label)))
             weight += PHRASE_WEIGHT
-    if any(phrase == TAG for _, (phrase, _) in hits):
-        for match in _tag_text.finditer(text):
-            found, permissive = parse_expression(match[1])
+    if tags:  # where the tag's last word ends in the text
+        word = np.frombuffer(spaced + b" ", np.uint8) != 32
+        ends = np.flatnonzero(word[:-1] & ~word[1:]) + 1
+        for tag in tags:
+            match = _after_tag.match(data, ends[tag])
+            written = match[1].decode() if match else ""
+            found, permissive = parse_expression(written)
             if found:
                 labels.update(name.replace(",", " ") for name in found)
-                out["expressions"].append(match[1].strip())
+                out["expressions"].append(written.strip())
                 free.append(permissive)
                 weight += TAG_WEIGHT
     if starts:
@@ -162,9 +173,10 @@ def license_scan(documents: DataFrame) -> DataFrame:
     Words are runs of letters, digits and anything beyond ASCII, A-Z lower-cased.
     ``n_base`` counts every place of a base phrase, also overlapping ones; without one
     the places are NULL. ``labels`` also holds other notices and what the expressions of
-    tags name. ``score`` is ``1 - 2^-w``, where a notice adds 1 to ``w`` and a tag 3.
+    tags name; a tag is its three words, a colon and an expression on the same line.
+    ``score`` is ``1 - 2^-w``, where a notice adds 1 to ``w`` and a tag 3.
     ``permissive``: all notices and expressions found ask for notice only. NULL and empty
-    texts have no words and score 0; a NULL id stays NULL; repeated rows are all answered;
+    texts have no words and score 0; an empty table gives no row; a NULL id stays NULL; repeated rows are all answered;
     other columns are ignored. Rows are independent, so nothing is shuffled.
     """
 
