@@ -2,7 +2,8 @@
 
 The cost of a value is the logarithm of the guesses that the cheapest segmentation into
 known words, dates, repeats, keyboard walks and brute-force characters needs, found by
-dynamic programming over its positions.
+dynamic programming over its positions. Known words are the first guesses below and the
+words of all documents, the most frequent first.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from passages.llm.common import map_rows, map_texts
 
@@ -39,20 +41,30 @@ HINTS = (b"passw", b"passphrase", b"pwd", b"secret", b"token", b"api", b"credent
          b"access", b"auth")
 _is_hex = bytes(49 if c in b"0123456789abcdef" else 48 for c in range(256))
 
-WORDS = (
+# Words that guessing starts with.
+FIRST_WORDS = (
     "password passwd secret token admin root user login welcome dragon master monkey letmein "
     "qwerty test demo example sample default change change_me changeme none null true false "
     "hello world love sun moon star spring summer autumn winter january february march april "
     "may june july august september october november december monday tuesday wednesday "
     "thursday friday saturday sunday key value string your here api auth bearer client access "
-    "public private placeholder redacted hidden todo dummy fake guest system server database"
+    "public private placeholder redacted hidden todo dummy fake guest system server database "
+    "princess football baseball superman batman trustno iloveyou sunshine shadow michael "
+    "jennifer jordan hunter killer soccer hockey ranger daniel george andrew charlie thomas "
+    "robert matthew joshua pepper ginger cookie cheese banana orange flower purple silver "
+    "golden diamond angel freedom whatever computer internet tigger buster mustang harley "
+    "maggie jessica ashley nicole chelsea matrix phoenix starwars pokemon samsung google "
+    "secure security support service backup manager office company"
 ).split()
-RANK = {word: place + 1 for place, word in enumerate(WORDS)}
-LONGEST_WORD = max(map(len, WORDS))
+# Words of the documents that are known besides, each of 3 to LONGEST_WORD letters a-z.
+CORPUS_WORDS = 20_000
+LONGEST_WORD = 16
+RANK = {word: place + 1 for place, word in enumerate(FIRST_WORDS)}
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 LEET = str.maketrans("4301$57@", "aeolssta")
 ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm")
-_year = re.compile(r"(?:19|20)\d\d")
-_date = re.compile(r"\d{1,4}([-/._]?)\d{1,2}\1\d{1,4}")
+_year = re.compile(r"(?:19|20)[0-9][0-9]")
+_date = re.compile(r"[0-9]{1,4}([-/._]?)[0-9]{1,2}\1[0-9]{1,4}")
 DATE_COST, YEAR_COST = math.log10(365 * 120), math.log10(120)
 BRUTE = 1.0
 
@@ -72,64 +84,113 @@ def _neighbours() -> frozenset[tuple[str, str]]:
     return frozenset(pairs)
 
 
-def _run_length(value: str, at: int, follows) -> int:
-    end = at + 1
-    while end < len(value) and follows(value[end - 1], value[end]):
-        end += 1
-    return end - at
+def word_cost(value: str, plain: str, read: str, at: int, end: int, ranks: dict) -> float:
+    """Price of a span as a known word, infinite if it is none."""
+    rank = ranks.get(plain[at:end])
+    swapped = rank is None
+    rank = rank or ranks.get(read[at:end])
+    if not rank:
+        return math.inf
+    return math.log10(rank + 1) + 0.3 * ((value[at:end] != plain[at:end]) + swapped) + 0.3
 
 
-def guess_cost(value: str) -> float:
+def date_cost(value: str, at: int, end: int) -> float:
+    """Price of a span as a year or a date, infinite if it is none."""
+    if end - at == 4 and _year.fullmatch(value, at, end):
+        return YEAR_COST
+    if end - at >= 6 and (date := _date.fullmatch(value, at, end)):
+        return DATE_COST + (0.6 if date[1] else 0.0)
+    return math.inf
+
+
+# Repeats of one character, keyboard walks, and repeats of 2, 3 and 4 characters: length of
+# a unit, least number of units, price of n units. All prices are concave in n.
+SERIES = (
+    (1, 3, lambda n: BRUTE + math.log10(n)),
+    (1, 3, lambda n: math.log10(47) + 0.5 * math.log10(n) + 0.3),
+    *((unit, 2, lambda n, unit=unit: unit * BRUTE + math.log10(n)) for unit in (2, 3, 4)),
+)
+
+
+def most_units(plain: str, kind: int) -> list[int]:
+    """For each position, how many units of a kind of series stand there at most."""
+    size, unit = len(plain), SERIES[kind][0]
+    beside = _neighbours()
+    links = [0] * (size + 1)
+    for at in range(size - unit - 1, -1, -1):
+        if kind == 1:
+            linked = (plain[at], plain[at + 1]) in beside
+        else:
+            linked = plain[at] == plain[at + unit]
+        links[at] = links[at + 1] + 1 if linked else 0
+    return [1 + links[at] // unit for at in range(size)]
+
+
+def guess_cost(value: str, ranks: dict[str, int] = RANK) -> float:
     """Logarithm (base 10) of the guesses the cheapest segmentation of ``value`` needs.
 
-    Every span is tried at its start only up to a fixed length, runs of one character and
-    walks at their full length, so the time is linear in the value's length.
+    It is the minimum over all segmentations, with every part of a repeat or walk a span of
+    its own. A start inside a series is kept only if its shortest span is cheaper than what
+    starts before offer: as prices are concave, it is at no longer one if not there. So
+    few starts are open at a time, and the time is about linear in the value's length.
     """
-    plain = value.lower()
+    plain = value.translate(LOWER)
     read = plain.translate(LEET)
-    beside = _neighbours()
     size = len(value)
     best = [0.0] + [math.inf] * size
-    repeat_until = walk_until = 0
-    for at in range(size):
+    units = [most_units(plain, kind) for kind in range(len(SERIES))]
+    started: list[dict] = [{} for _ in SERIES]  # place within a unit -> [(start, last end)]
+    for at in range(size + 1):
+        for kind, (unit, least, price) in enumerate(SERIES):
+            starts = started[kind].get(at % unit)
+            if starts:
+                starts[:] = [s for s in starts if s[1] >= at]
+                for start, _ in starts:
+                    count = (at - start) // unit
+                    if count >= least:
+                        best[at] = min(best[at], best[start] + price(count))
+        if at == size:
+            break
         here = best[at]
-
-        def reach(end: int, cost: float) -> None:
+        best[at + 1] = min(best[at + 1], here + BRUTE)
+        for kind, (unit, least, price) in enumerate(SERIES):
+            if units[kind][at] >= least:
+                starts = started[kind].setdefault(at % unit, [])
+                first = at + unit * least
+                offered = min(
+                    (best[s] + price((first - s) // unit) for s, last in starts if last >= first),
+                    default=math.inf,
+                )
+                if here + price(least) < offered:
+                    starts.append((at, at + unit * units[kind][at]))
+        for end in range(at + 3, min(at + LONGEST_WORD, size) + 1):
+            cost = word_cost(value, plain, read, at, end, ranks)
             if here + cost < best[end]:
                 best[end] = here + cost
-
-        reach(at + 1, BRUTE)
-        for end in range(at + 3, min(at + LONGEST_WORD, size) + 1):
-            rank = RANK.get(plain[at:end]) or RANK.get(read[at:end])
-            if rank:
-                shifted = value[at:end] != plain[at:end]
-                swapped = plain[at:end] not in RANK
-                reach(end, math.log10(rank + 1) + 0.3 * (shifted + swapped) + 0.3)
-        if _year.match(value, at):
-            reach(at + 4, YEAR_COST)
-        if (date := _date.match(value, at)) and date.end() - at >= 6:
-            reach(date.end(), DATE_COST + (0.6 if date[1] else 0.0))
-        if at >= repeat_until:
-            run = _run_length(plain, at, str.__eq__)
-            repeat_until = at + run
-            if run >= 3:
-                reach(at + run, BRUTE + math.log10(run))
-        for unit in (2, 3, 4):  # ababab: one unit, repeated
-            part = plain[at:at + unit]
-            begun = at >= unit and plain.startswith(part, at - unit)
-            if plain.startswith(part, at + unit) and not begun:
-                end = at + 2 * unit
-                while plain.startswith(part, end):
-                    end += unit
-                reach(end, unit * BRUTE + math.log10((end - at) / unit))
-        if at >= walk_until:
-            run = _run_length(plain, at, lambda a, b: (a, b) in beside)
-            walk_until = at + max(run - 1, 1)
-            if run >= 3:
-                reach(at + run, math.log10(47) + 0.5 * math.log10(run) + 0.3)
+        if "0" <= value[at] <= "9":
+            for end in range(at + 4, min(at + 12, size) + 1):
+                cost = date_cost(value, at, end)
+                if here + cost < best[end]:
+                    best[end] = here + cost
     return best[size]
 
 
+def known_words(documents: DataFrame, most: int = CORPUS_WORDS) -> dict[str, int]:
+    """Ranks of the first guesses, then of the ``most`` most frequent words of all texts.
+
+    Words are runs of 3 to LONGEST_WORD letters a-z with A-Z lower-cased; equal counts rank
+    by the word. Words are counted before the shuffle and only ``most`` reach the driver.
+    """
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = documents.select(F.explode(F.split(lowered, "[^a-z]+")).alias("word"))
+    counts = words.where(F.length("word").between(3, LONGEST_WORD)).groupBy("word").count()
+    found = counts.orderBy(F.desc("count"), "word").limit(most).collect()
+    ranks = dict(RANK)
+    for row in found:
+        ranks.setdefault(row["word"], len(ranks) + 1)
+    return ranks
+
+
 def base_spans(text: str, data: bytes, lowered: bytes) -> list[tuple[int, int, int]]:
     """``(start, kind, end)`` of the three patterns; failing matches are dropped."""
     found = []
@@ -145,14 +206,14 @@ def base_spans(text: str, data: bytes, lowered: bytes) -> list[tuple[int, int, i
     return found
 
 
-def scan_text(text: str) -> dict:
+def scan_text(text: str, ranks: dict[str, int] = RANK) -> dict:
     data = text.encode()
     lowered = data.lower()
     base = sorted(base_spans(text, data, lowered))
     added = {}
     if any(hint in lowered for hint in HINTS):
         for match in CONTEXT.finditer(text):
-            cost = guess_cost(match[1])
+            cost = guess_cost(match[1], ranks)
             if cost >= STRONG:
                 added[match.start(1), 3, match.end(1)] = cost
     spans = sorted([*base, *added])
@@ -168,9 +229,9 @@ def scan_text(text: str) -> dict:
     }
 
 
-def redact_text(text: str, mask: str = "[secret]") -> str:
+def redact_text(text: str, ranks: dict[str, int] = RANK, mask: str = "[secret]") -> str:
     """``text`` with every span found replaced; spans that overlap become one mask."""
-    spans = [tuple(map(int, s.split(":")[1:])) for s in scan_text(text)["spans"].split(",") if s]
+    spans = [tuple(map(int, s.split(":")[1:])) for s in scan_text(text, ranks)["spans"].split(",") if s]
     out, at = [], 0
     for start, end in spans:
         if start >= at:
@@ -190,13 +251,17 @@ def secret_scan(documents: DataFrame) -> DataFrame:
 
     ``spans`` lists ``kind:start:end`` in code points, end exclusive, by start and then
     kind; kind ``cost`` is a value in a credential context that takes at least 10^8
-    guesses. NULL and empty texts have no spans; a NULL id stays NULL; repeated rows are
-    all answered; other columns are ignored. Nothing is shuffled.
+    guesses, where ``known_words`` of these documents are guessed first. NULL and empty texts
+    have no spans; a NULL id stays NULL; repeated rows are all answered; an empty table gives
+    no row; other columns are ignored. Only counts of words are shuffled.
     """
+    ranks = documents.sparkSession.sparkContext.broadcast(known_words(documents))
 
     def work():
+        known = ranks.value
+
         def step(block: pa.RecordBatch) -> dict[str, list]:
-            rows = [scan_text(t) for t in block.column(1).to_pylist()]
+            rows = [scan_text(t, known) for t in block.column(1).to_pylist()]
             return {"doc_id": block.column(0)} | {
                 name: [row[name] for row in rows]
                 for name in ("n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_cost",
@@ -214,10 +279,13 @@ def redact_secrets(documents: DataFrame) -> DataFrame:
     Every row stays, repeated ones too; an empty table stays empty.
     """
     at = documents.columns.index("text")
+    ranks = documents.sparkSession.sparkContext.broadcast(known_words(documents))
 
     def work():
+        known = ranks.value
+
         def step(rows: pa.RecordBatch, _: pa.Array) -> pa.RecordBatch:
-            masked = [None if t is None else redact_text(t) for t in rows.column(at).to_pylist()]
+            masked = [None if t is None else redact_text(t, known) for t in rows.column(at).to_pylist()]
             return rows.set_column(at, rows.schema.field(at), pa.array(masked, rows.schema.field(at).type))
 
         return step
