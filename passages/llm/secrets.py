@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from passages.llm.common import map_rows, map_texts
+from passages.llm.common import map_rows, map_texts, store
 
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -56,7 +56,7 @@ FIRST_WORDS = (
     "maggie jessica ashley nicole chelsea matrix phoenix starwars pokemon samsung google "
     "secure security support service backup manager office company"
 ).split()
-# Words of the documents that are known besides, each of 3 to LONGEST_WORD letters a-z.
+# At most so many words of the documents are known besides, of 3 to LONGEST_WORD letters a-z.
 CORPUS_WORDS = 20_000
 LONGEST_WORD = 16
 RANK = {word: place + 1 for place, word in enumerate(FIRST_WORDS)}
@@ -176,18 +176,30 @@ def guess_cost(value: str, ranks: dict[str, int] = RANK) -> float:
 
 
 def known_words(documents: DataFrame, most: int = CORPUS_WORDS) -> dict[str, int]:
-    """Ranks of the first guesses, then of the ``most`` most frequent words of all texts.
+    """Ranks of the first guesses, then of the most frequent words of all texts.
 
-    Words are runs of 3 to LONGEST_WORD letters a-z with A-Z lower-cased; equal counts rank
-    by the word. Words are counted before the shuffle and only ``most`` reach the driver.
+    Words are runs of 3 to LONGEST_WORD letters a-z with A-Z lower-cased. Frequencies fall in
+    classes of an eighth of a doubling; the highest classes that together hold at most
+    ``most`` words are taken whole, so no more than that reach the driver whatever the number
+    of tasks. Equal counts rank by the word.
     """
     lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     words = documents.select(F.explode(F.split(lowered, "[^a-z]+")).alias("word"))
     counts = words.where(F.length("word").between(3, LONGEST_WORD)).groupBy("word").count()
-    found = counts.orderBy(F.desc("count"), "word").limit(most).collect()
+    counts = store(
+        counts.withColumn("class", F.floor(8 * F.log2("count")).cast("int")), "word-counts"
+    )
+    total, lowest = 0, None
+    for row in counts.groupBy("class").agg(F.count("*").alias("n")).orderBy(F.desc("class")).collect():
+        total += row["n"]
+        if total > most:
+            break
+        lowest = row["class"]
     ranks = dict(RANK)
-    for row in found:
-        ranks.setdefault(row["word"], len(ranks) + 1)
+    if lowest is not None:
+        found = counts.where(F.col("class") >= lowest).select("word", "count").collect()
+        for row in sorted(found, key=lambda r: (-r["count"], r["word"])):
+            ranks.setdefault(row["word"], len(ranks) + 1)
     return ranks
 
 
