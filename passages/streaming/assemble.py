@@ -14,7 +14,9 @@ from passages.operators.prompts import answer_ends, delta_text
 
 OUTPUT = "seq_id bigint, emit_no bigint, text string"
 STATE = "held string, due bigint, emit_no bigint, waiting bigint"
-PIECE = "piece string, ends boolean, is_last boolean"
+# Pieces that wait, by position; a block of positions is one entry of the state.
+BLOCK = 256
+PIECES = "pos array<bigint>, piece array<string>, ends array<boolean>, is_last array<boolean>"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 def keep_state_in_rocksdb(spark: SparkSession) -> None:
@@ -25,9 +27,9 @@ def keep_state_in_rocksdb(spark: SparkSession) -> None:
 class Assembler(StatefulProcessor):
     """Puts the pieces of each sequence in order and releases text, see below.
 
-    One value holds the text not yet released and the next position; each piece that came
-    early is an entry of a map, read and removed when its turn comes. So a batch costs
-    what it brings and releases, however much waits behind a gap.
+    One value holds the text not yet released and the next position; pieces that came early
+    wait in a map, all of a block of positions in one entry, so a batch costs a few calls of
+    the state for each block that it brings or releases, however much waits behind a gap.
     """
 
     def __init__(self, whole: bool, timeout_ms: int | None, remembered_ms: int | None):
@@ -36,7 +38,7 @@ class Assembler(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.open = handle.getValueState("open", STATE)
-        self.early = handle.getMapState("early", "pos bigint", PIECE)
+        self.early = handle.getMapState("early", "block bigint", PIECES)
         lifetime = () if self.remembered_ms is None else (self.remembered_ms,)
         self.ended = handle.getValueState("ended", "ended boolean", *lifetime)
 
@@ -44,51 +46,75 @@ class Assembler(StatefulProcessor):
         pass
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        if self.ended.exists():
+        state = self.open.get()
+        if state is None and self.ended.exists():
             return
-        held, due, emit_no, waiting = self.open.get() if self.open.exists() else ("", 0, 0, 0)
-        arrived: dict[int, tuple] = {}
+        held, due, emit_no, waiting = state or ("", 0, 0, 0)
+        arrived: dict[int, dict[int, tuple]] = {}
         for frame in rows:
             for pos, *piece in zip(frame["pos"], frame["piece"], frame["ends"], frame["is_last"]):
                 if pos >= due:
-                    arrived.setdefault(int(pos), (piece[0], bool(piece[1]), bool(piece[2])))
+                    block = arrived.setdefault(int(pos) // BLOCK, {})
+                    block.setdefault(int(pos), (piece[0], bool(piece[1]), bool(piece[2])))
         out: list[str] = []
-        finished = False
-        while not finished:
-            if waiting and self.early.containsKey((due,)):
-                # The first of equal positions counts.
-                piece, ends, finished = self.early.getValue((due,))
-                self.early.removeKey((due,))
-                arrived.pop(due, None)
-                waiting -= 1
-            elif due in arrived:
-                piece, ends, finished = arrived.pop(due)
-            else:
-                break
-            due, held = due + 1, held + piece
-            if (held or self.whole) and (finished or ends and not self.whole):
-                out.append(held)
-                held = ""
+        parts = [held] * bool(held)
+        finished, taken = False, set()
+        # What waits lies behind the piece that is due, so only that one lets it move.
+        moves = due in arrived.get(due // BLOCK, ())
+        while moves:
+            number = due // BLOCK
+            block = self._with_waiting(number, arrived.pop(number, {}), waiting)
+            taken.add(number)
+            while due in block and not finished:
+                piece, ends, finished = block.pop(due)
+                due += 1
+                parts += [piece] * bool(piece)
+                if (parts or self.whole) and (finished or ends and not self.whole):
+                    out.append("".join(parts))
+                    parts = []
+            moves = not finished and due // BLOCK > number
+            arrived[number] = block
         if finished:
             yield from self._end(key, emit_no, out)
             return
-        for pos, piece in arrived.items():
-            if not self.early.containsKey((pos,)):
-                self.early.updateValue((pos,), piece)
-                waiting += 1
-        self.open.update((held, due, emit_no + len(out), waiting))
+        waiting = self._wait(arrived, taken, waiting)
+        self.open.update(("".join(parts), due, emit_no + len(out), waiting))
         if self.timeout_ms is not None:
             self._drop_timers()
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms)
         yield from self._rows(key, emit_no, out)
 
+    def _with_waiting(self, number: int, block: dict[int, tuple], waiting: int) -> dict[int, tuple]:
+        """Pieces of a block with those that wait; the first of equal positions counts."""
+        if not waiting or not self.early.containsKey((number,)):
+            return block
+        pos, *pieces = self.early.getValue((number,))
+        return block | dict(zip(pos, zip(*pieces)))
+
+    def _wait(self, arrived: dict[int, dict[int, tuple]], taken: set[int], waiting: int) -> int:
+        """Store the blocks, of which the taken ones are whole; the number of blocks that wait."""
+        stored = waiting
+        for number, block in arrived.items():
+            known = bool(stored) and self.early.containsKey((number,))
+            if block:
+                if known and number not in taken:
+                    block = self._with_waiting(number, block, stored)
+                pos = sorted(block)
+                self.early.updateValue(
+                    (number,), (pos, *map(list, zip(*(block[p] for p in pos)))))
+            elif known:
+                self.early.removeKey((number,))
+            waiting += bool(block) - known
+        return waiting
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """What waits behind a gap is released in order, as if the gap were empty."""
         if not self.open.exists():
             return
         held, _, emit_no, _ = self.open.get()
         out = []
-        for _, (piece, ends, _) in sorted((k[0], v) for k, v in self.early.iterator()):
+        blocks = [zip(*pieces) for _, pieces in self.early.iterator()]
+        for _, piece, ends, _ in sorted(row for block in blocks for row in block):
             held += piece
             if held and ends and not self.whole:
                 out.append(held)

@@ -224,6 +224,55 @@ def test_a_gap_costs_a_few_state_calls_a_piece(pieces):
     assert handle.map.calls <= 6 * pieces
 
 
+def _feed(work, rows):
+    import pandas as pd
+
+    frame = pd.DataFrame(rows, columns=["pos", "piece", "ends", "is_last"])
+    return [t for out in work.handleInputRows((7,), iter([frame]), _Clock()) for t in out["text"]]
+
+
+def test_pieces_of_a_batch_share_state_calls():
+    """2,000 pieces come before the first: entries of the state are blocks, not pieces."""
+    from passages.streaming.assemble import Assembler
+
+    handle = _Handle()
+    work = Assembler(True, None, None)
+    work.init(handle)
+    rows = [(pos, f"w{pos} ", False, pos == 2000) for pos in range(2001)]
+    assert _feed(work, rows[1:]) == []
+    assert _feed(work, rows[:1]) == ["".join(r[1] for r in rows)] and not handle.map
+    assert handle.map.calls <= 60
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_blocks_of_any_batches_give_the_sequence(monkeypatch, seed):
+    """Repeats with another text come later and do not count, also where blocks are cut."""
+    from passages.streaming import assemble
+
+    monkeypatch.setattr(assemble, "BLOCK", 4)
+    rng = random.Random(seed)
+    handle = _Handle()
+    work = assemble.Assembler(False, None, None)
+    work.init(handle)
+    pieces = [rng.choice(["a", " b", ",", ""]) for _ in range(50)]
+    rows = [(n, p, p.strip() > ",", n == 49) for n, p in enumerate(pieces)]
+    rng.shuffle(rows)
+    found, fed = [], []
+    while rows:
+        size = rng.randint(1, 9)
+        part, rows = rows[:size], rows[size:]
+        again = [(n, "late", True, False) for n, *_ in rng.sample(fed, min(len(fed), 3))]
+        found += _feed(work, part + again)
+        fed += part
+    texts, held = [], ""
+    for n, p in enumerate(pieces):
+        held += p
+        if held and (p.strip() > "," or n == 49):
+            texts.append(held)
+            held = ""
+    assert found == texts and not handle.map
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_deltas_equal_the_batch_for_any_split(spark, seed):
     import json
