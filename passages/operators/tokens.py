@@ -22,8 +22,9 @@ SPECIAL_TOKENS = {"[PAD]": PAD_ID, "[UNK]": UNK_ID, "[CLS]": CLS_ID, "[SEP]": SE
 FIRST_WORD_ID = 1000
 # A vocabulary up to this many rows and bytes is shipped to the tasks.
 BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 32 << 20
-# Elements of the rows that share one dictionary, and rows of one batch of them.
-GROUP_VALUES, OUT_ROWS = 1 << 21, 10_000
+# Elements of the rows that share one dictionary, and rows of one batch of them: a worker
+# holds a group, and a core may have a worker for each of several steps.
+GROUP_VALUES, OUT_ROWS = 1 << 19, 2_000
 
 
 def build_vocab(df: DataFrame, text: str = "text", size: int | None = None) -> DataFrame:
@@ -143,6 +144,9 @@ def translate_by_dictionary(
             own = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary)
             yield pa.RecordBatch.from_arrays(
                 [part, *[pa.nulls(1, f.type) for f in schema][1:-1], own], schema=schema)
+            # Before the next group is put together this one is let go.
+            del table, lists, coded, own
+            pa.default_memory_pool().release_unused()
 
     stored = in_buckets(rows.mapInArrow(code, stored_schema), "_part")
     own = stored.where("_own IS NOT NULL").select(
@@ -153,6 +157,7 @@ def translate_by_dictionary(
         *[stored.schema[c] for c in others], T.StructField(column, T.ArrayType(lookup.schema[target].dataType))])
 
     def decode(left: pa.Table, right: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         lists = left["_codes"].combine_chunks()
         lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
         codes = lists.flatten()

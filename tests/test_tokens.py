@@ -143,3 +143,11 @@ def test_rows_in_buckets_are_not_shuffled_to_their_dictionaries(spark):
     plan = coded._jdf.queryExecution().executedPlan().toString()
     bucketed = [line for line in plan.splitlines() if "_codes" in line and "Exchange" in line]
     assert "Bucketed: true" in plan and not bucketed
+
+
+def test_a_worker_holds_a_group_of_bounded_size():
+    import pyarrow as pa
+
+    batch = pa.record_batch([pa.array([list(range(1000))] * 500)], names=["t"])
+    sizes = [g.column(0).combine_chunks().flatten() for g in tokens._groups([batch] * 4, 0, tokens.GROUP_VALUES)]
+    assert sum(map(len, sizes)) == 2_000_000 and max(map(len, sizes)) <= 600_000
