@@ -23,7 +23,7 @@ from passages.operators.cells import SCORE_UNIT, nonzero, vector_matrix
 from passages.operators.embedding import EMBEDDING_DIM
 from passages.operators.joins import join_lookup
 from passages.operators.search import BROADCAST_BYTES, topk_cosine
-from passages.session import scratch_path
+from passages.session import stored
 
 SAMPLE_POINTS = 4096
 # Points of one block of products, and products held at once.
@@ -119,11 +119,9 @@ def open_pairs(
             ["query", "id", "low", "high"])
 
     coded = points.where(F.col("error") < float("inf")).select(F.col(point_id).cast("long").alias("id"), "code", "error")
-    kept = coded.mapInArrow(run, "query bigint, id bigint, low double, high double")
+    kept = stored(
+        coded.mapInArrow(run, "query bigint, id bigint, low double, high double"), "open-pairs")
     order = Window.partitionBy("query").orderBy(F.desc("low"), "id")
-    path = scratch_path(points.sparkSession, "open-pairs")
-    kept.write.parquet(path)
-    kept = points.sparkSession.read.schema(kept.schema).parquet(path)
     kth = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") == k)
     least = kth.select("query", (F.col("low") - SLACK).alias("_least"))
     return kept.join(least, "query", "left").where("_least IS NULL OR high >= _least").drop("_least")
@@ -155,7 +153,7 @@ def topk_coded(
     def plain() -> DataFrame:
         hits = topk_cosine(queries, points, k, query_id=query_id, point_id=point_id, vector=vector, dim=dim,
                            broadcast_bytes=broadcast_bytes)
-        return join_lookup(hits, points.select(point_id, *keep), point_id, [query_id, "rank"],
+        return join_lookup(stored(hits, "hits"), points.select(point_id, *keep), point_id, [query_id, "rank"],
                            how="inner").select(*hits.columns, *keep) if keep else hits
 
     if table.num_rows > most:

@@ -14,6 +14,7 @@ from passages.operators.joins import join_lookup
 from passages.operators.points import payload_text, point_chunk, point_doc, point_id
 from passages.operators.prompts import chat_request, context_text, rag_messages
 from passages.operators.search import BROADCAST_BYTES, topk_cosine
+from passages.session import stored
 from passages.sources.collections import collection_settings, read_collection
 
 CHUNK_SIZE, OVERLAP = 300, 80
@@ -61,7 +62,9 @@ def hit_texts(
         return F.array_join(F.slice(words, first, F.lit(chunk_size)), " ")
 
     if most_hits * HIT_BYTES > broadcast_bytes:
-        joined = join_lookup(keyed, texts, "doc_id", ["query_id", "rank"], how="inner")
+        # The join counts its rows first: they come from storage, not from another search.
+        joined = join_lookup(
+            stored(keyed, "hits"), texts, "doc_id", ["query_id", "rank"], how="inner")
         text = chunk(words("_text"), F.col("id"))
         return joined.select("query_id", "id", "score", "rank", text.alias("text"))
     hit = F.struct("query_id", "id", "score", "rank")
@@ -85,7 +88,7 @@ def stored_texts(
     """Add ``text`` to hits from the payloads of the points that were hit."""
     texts = points.select("id", payload_text("payload").alias("text"))
     if most_hits * HIT_BYTES > broadcast_bytes:
-        return join_lookup(hits, texts, "id", ["query_id", "rank"], how="inner")
+        return join_lookup(stored(hits, "hits"), texts, "id", ["query_id", "rank"], how="inner")
     return texts.join(F.broadcast(hits), "id")
 
 
@@ -116,8 +119,9 @@ def search_collection(
     hits = topk_cosine(asked, points, k, dim=settings["dim"], broadcast_bytes=broadcast_bytes)
     payloads = points.select("id", "payload")
     if questions.count() * k * HIT_BYTES > broadcast_bytes:
-        return join_lookup(hits, payloads, "id", ["query_id", "rank"], how="inner").select(
-            *hits.columns, "payload")
+        return join_lookup(
+            stored(hits, "hits"), payloads, "id", ["query_id", "rank"], how="inner"
+        ).select(*hits.columns, "payload")
     return payloads.join(F.broadcast(hits), "id").select(*hits.columns, "payload")
 
 
