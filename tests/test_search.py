@@ -218,3 +218,96 @@ def test_upsert_keeps_one_row_of_a_repeated_id(spark):
     stored = {(r.id, r.v) for r in upsert_points(old, new, F.col("v")).collect()}
     assert stored == {(1, 1), (2, 10), (3, 3)}
     assert upsert_points(old, new).count() == 3
+
+
+def _watch_products(monkeypatch, module):
+    """Sizes of the matrices that are compared with the floors."""
+    sizes, found = [], module.cells_where
+    monkeypatch.setattr(module, "cells_where", lambda m: sizes.append(m.size) or found(m))
+    return sizes
+
+
+def test_products_of_a_search_stay_in_the_cache(monkeypatch):
+    sizes = _watch_products(monkeypatch, scoring)
+    rng = np.random.default_rng(8)
+    q, p = rng.normal(size=(3001, 8)), rng.normal(size=(3003, 8))
+    best = scoring.Best(q, 2)
+    for part in np.array_split(np.arange(3003), 2):
+        best.add(part, p[part])
+    assert sizes and max(sizes) <= 1 << 20
+    rows = [(int(i), int(d), u / 1e6) for i, d, u in zip(*best.found())]
+    assert sorted(rows) == sorted(r[:3] for r in _expected_topk(range(3001), q, range(3003), p, 2))
+
+
+def test_only_what_reaches_a_known_score_is_found():
+    rng = np.random.default_rng(9)
+    q, p = rng.normal(size=(20, 6)), rng.normal(size=(900, 6))
+    units = np.sort(_units(q, p), axis=1).astype(np.int64)
+    least = units[:, -2].copy()
+    least[3] = scoring.NO_SCORE
+    best = scoring.Best(q, 5, least=least)
+    best.add(np.arange(900), p)
+    row, _, found = best.found()
+    for i in range(20):
+        assert sorted(found[row == i]) [-2:] == units[i, -2:].tolist()
+    best = scoring.Best(q, 5, least=units[:, -2])
+    best.add(np.arange(900), p)
+    assert len(best.found()[0]) == 40
+
+
+def _sparse(rng, n, whole, dim=400):
+    import pyarrow as pa
+
+    buckets = [np.sort(rng.choice(dim, rng.integers(1, 30), replace=False)) for _ in range(n)]
+    buckets = [np.union1d(b, [7]) for b in buckets]
+    weights = [rng.integers(1, 5, len(b)) * (1.0 if whole else 0.37) for b in buckets]
+    dense = np.zeros((n, dim))
+    for row, b, w in zip(dense, buckets, weights):
+        row[b] = w
+    table = pa.table([pa.array(np.arange(n)), pa.array([b.astype(np.int32) for b in buckets]),
+                      pa.array(weights)], names=["id", "buckets", "weights"])
+    return table, dense
+
+
+@pytest.mark.parametrize("whole", [True, False])
+def test_sparse_products_are_tiles_and_exact(monkeypatch, whole):
+    from passages.operators import search
+
+    sizes = _watch_products(monkeypatch, search)
+    rng = np.random.default_rng(10)
+    monkeypatch.setattr(search, "DENSE_SHARE", 20)
+    (left, q), (right, p) = _sparse(rng, 2100, whole), _sparse(rng, 2300, whole)
+    best = search.SparseBest(left, 3)
+    for start in (0, 1000):
+        best.add_sparse(right.slice(start, 1000 if not start else 1300))
+    assert sizes and max(sizes) <= 1 << 20
+    rows = [(int(i), int(d), u / 1e6) for i, d, u in zip(*best.found())]
+    assert sorted(rows) == sorted(r[:3] for r in _expected_topk(range(2100), q, range(2300), p, 3))
+
+
+def test_sparse_vectors_of_nothing_take_no_part(spark):
+    kind = "vector struct<buckets array<int>, weights array<double>>"
+    points = spark.createDataFrame([(1, ([1, 2], [1.0, 1.0])), (2, ([], [])), (3, None), (4, ([5], [1.0]))],
+                                   f"id long, {kind}")
+    queries = spark.createDataFrame([(7, ([1], [2.0])), (8, ([], [])), (9, None)], f"query_id long, {kind}")
+    for limit in (1 << 20, 0):
+        hits = topk_cosine_sparse(queries, points, 3, broadcast_bytes=limit).collect()
+        assert sorted((h.query_id, h.id, h.score) for h in hits) == [(7, 1, 0.707107), (7, 4, 0.0)]
+
+
+def test_texts_and_payloads_are_joined_to_stored_hits(spark):
+    """The join counts its rows; the search must not run again for each count."""
+    from passages.operators import coded
+    from passages.plans import rag
+
+    docs = spark.createDataFrame([(i, f"w{i} w{i % 3} a b") for i in range(9)], "doc_id long, text string")
+    asked = embedding.embed_queries(docs.withColumnRenamed("doc_id", "query_id"))
+    points = coded.code_points(rag.document_vectors(docs)).withColumn("payload", F.lit("p"))
+    hits = topk_cosine(asked, points, 2)
+    wanted = sorted(map(tuple, hits.collect()))
+    for joined in (rag.hit_texts(hits, docs, 18, broadcast_bytes=0),
+                   coded.topk_coded(asked, points, 2, broadcast_bytes=0, keep=("payload",))):
+        plan = joined._jdf.queryExecution().optimizedPlan().toString()
+        searched = [line for line in plan.splitlines() if "FlatMapCoGroupsInArrow" in line]
+        assert not searched and "MapInArrow run" not in plan
+        assert sorted(map(tuple, joined.select(*hits.columns).collect())) == wanted
