@@ -67,7 +67,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> Data
         if state.full == at_most or not state.weight:
             break
         at_most, left, share = state.full, words - int(state.taken or 0), int(state.weight)
-    shared = (F.col("weight") * F.lit(left)).cast("double") / F.lit(float(share))
+    # As 64-bit numbers: five times the words of a few GB are beyond 32 bits.
+    shared = (F.col("weight").cast("bigint") * F.lit(left)).cast("double") / F.lit(float(share))
     return sources.select(
         "source", "place", "source_size", "documents",
         F.when(full, most.cast("double")).otherwise(shared).alias("target"),

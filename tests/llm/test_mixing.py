@@ -108,6 +108,16 @@ def test_targets(spark, sizes):
     assert all(math.isclose(found[s], expected[s], abs_tol=1e-9) for s in found)
 
 
+def test_targets_of_more_words_than_32_bits_hold(spark):
+    """A weight times all words is beyond 2^31 from 430 million words on."""
+    sizes = {"a": 1_200_000_000, "b": 800_000_000, "c": 100_000_000, "d": 3_000_000}
+    df = spark.createDataFrame(list(sizes.items()), "source string, size bigint")
+    found = {r.source: r.target for r in source_targets(df).collect()}
+    expected = plain_targets(sizes)
+    assert found.keys() == expected.keys()
+    assert all(math.isclose(found[s], expected[s], rel_tol=1e-12) for s in found)
+
+
 def test_averages_are_kept(spark):
     """Over many draws each item goes up as often as its fraction says."""
     items = [("0", 5.0, 0.3), ("1", 1.0, 0.9), ("2", 2.0, 0.5), ("3", 8.0, 0.05), ("4", 1.0, 0.0),
