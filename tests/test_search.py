@@ -285,6 +285,60 @@ def test_sparse_products_are_tiles_and_exact(monkeypatch, whole):
     assert sorted(rows) == sorted(r[:3] for r in _expected_topk(range(2100), q, range(2300), p, 3))
 
 
+SPARSE = "vector struct<buckets array<int>, weights array<double>>"
+
+
+def _sparse_rows(spark, ids, table, name):
+    rows = [(i, (b, w)) for i, b, w in zip(ids, *(table.column(c).to_pylist() for c in (1, 2)))]
+    return spark.createDataFrame(rows, f"{name} long, {SPARSE}")
+
+
+def test_sparse_turns_store_points_once_and_shuffle_none(spark):
+    """Each block of queries used to take a copy of all points through a shuffle, and vice versa."""
+    from pathlib import Path
+
+    from passages.operators import search
+    from passages.session import shared_dir
+
+    rng = np.random.default_rng(11)
+    # Ids that repeat, and NULL ids, in several turns; the points repeat some vectors.
+    (left, q), (right, _) = _sparse(rng, 90, True), _sparse(rng, 700, True)
+    ids = [None if i % 9 == 0 else i // 2 for i in range(90)]
+    queries = _sparse_rows(spark, ids, left, "query_id")
+    points = _sparse_rows(spark, [*range(700), *range(1000, 1200)],
+                          right.take(list(range(700)) + [3] * 200), "id").repartition(6)
+    wanted = topk_cosine_sparse(queries, points, 4).collect()
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    found = topk_cosine_sparse(queries, points, 4, broadcast_bytes=0, query_rows=9)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" not in plan and "Generate" not in plan
+    assert sorted(map(str, found.collect())) == sorted(map(str, wanted))
+    rows = {}
+    for made in set(folder.iterdir()) - before:
+        rows.setdefault(made.name.split("-")[0], []).append(spark.read.parquet(str(made)).count())
+    assert rows["searched"] == [900] and rows["asked"] == [90] and len(rows["best"]) > 5
+    assert sum(rows["near"]) <= 4 * 90 and sum(rows["best"]) <= 4 * 90
+    # No task returns what the sample rules out.
+    last = search.SparseBest(left, 4, np.full(90, 900_000))
+    last.add_sparse(right)
+    assert (last.found()[2] >= 900_000).all()
+
+
+@pytest.mark.parametrize("cells", [1, 90 * 3, 1 << 26])
+def test_sparse_matrix_is_bounded(monkeypatch, cells):
+    from passages.operators import search
+
+    rng = np.random.default_rng(12)
+    (left, q), (right, p) = _sparse(rng, 90, True, dim=60), _sparse(rng, 300, True, dim=60)
+    monkeypatch.setattr(search, "DENSE_CELLS", cells)
+    best = search.SparseBest(left, 3)
+    assert best.dense.size <= max(cells, 90) and best.dense.dtype == np.float32
+    best.add_sparse(right)
+    rows = [(int(i), int(d), u / 1e6) for i, d, u in zip(*best.found())]
+    assert sorted(rows) == sorted(r[:3] for r in _expected_topk(range(90), q, range(300), p, 3))
+
+
 def test_sparse_vectors_of_nothing_take_no_part(spark):
     kind = "vector struct<buckets array<int>, weights array<double>>"
     points = spark.createDataFrame([(1, ([1, 2], [1.0, 1.0])), (2, ([], [])), (3, None), (4, ([5], [1.0]))],
